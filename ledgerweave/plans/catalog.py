@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from ledgerweave.plans import finance_queries
+from ledgerweave.plans import dataset_queries, finance_queries
 
-QUERIES = {**finance_queries.QUERIES}
+QUERIES = {**finance_queries.QUERIES, **dataset_queries.QUERIES}

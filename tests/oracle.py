@@ -66,9 +66,10 @@ def main(argv):
     import __spark_entry__ as e
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con, sqls, bad = duck(sf_dir), e.oracle_sql(), 0
     for name, run in e.queries().items():
         if argv[1:] and not any(name.startswith(a) for a in argv[1:]):
