@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerweave.functions.gather import gather_ordered
-from ledgerweave.functions.jsontext import json_string, json_value
+from ledgerweave.functions.jsontext import json_string, json_value, string_sql
 
 # Fixed value: the bookkeeping key carried by system messages.
 QUESTION_KEY = "_question"
@@ -63,21 +63,24 @@ def chat_text(messages: Column, begin: str = "<|im_start|>", split: str = "\n",
     return F.array_join(F.transform(messages, turn), "")
 
 
-def record_line(messages: Column, question: Column, sql: Column) -> Column:
-    """A training record as one JSON line."""
-    def one(m):
-        note = F.when(m[QUESTION_KEY].isNotNull(), F.concat(
-            F.lit(f', "{QUESTION_KEY}": '), json_string(m[QUESTION_KEY]))).otherwise("")
-        return F.concat(F.lit('{"role": '), json_string(m["role"]), F.lit(', "content": '),
-                        json_string(m["content"]), note, F.lit("}"))
-    return F.concat(F.lit('{"messages": ['), F.array_join(F.transform(messages, one), ", "),
-                    F.lit('], "metadata": {"question": '), json_string(question),
-                    F.lit(', "sql": '), json_string(sql), F.lit("}}"))
+def record_line() -> Column:
+    """A training record, with ``messages`` and ``metadata``, as one JSON line.
 
+    The bookkeeping key is written only where it is set.
+    """
+    note = (f"CASE WHEN m.{QUESTION_KEY} IS NULL THEN '' ELSE "
+            f"concat(', \"{QUESTION_KEY}\": ', {string_sql(f'm.{QUESTION_KEY}')}) END")
+    one = (f"concat('{{\"role\": ', {string_sql('m.role')}, ', \"content\": ', "
+           f"{string_sql('m.content')}, {note}, '}}')")
+    messages = F.expr(f"array_join(transform(messages, m -> {one}), ', ')")
+    return F.concat(F.lit('{"messages": ['), messages, F.lit('], "metadata": {"question": '),
+                    json_string("metadata.question"), F.lit(', "sql": '),
+                    json_string("metadata.sql"), F.lit("}}"))
 
-def messages_line(messages: Column, data_type: T.DataType) -> Column:
-    """A split record, messages only, as one JSON line."""
-    return F.concat(F.lit('{"messages": '), json_value(messages, data_type), F.lit("}"))
+
+def messages_line(data_type: T.DataType) -> Column:
+    """A split record, ``messages`` only, as one JSON line."""
+    return F.concat(F.lit('{"messages": '), json_value("messages", data_type), F.lit("}"))
 
 
 def message_columns(fields: Sequence[str] = ("role", "content")) -> T.ArrayType:

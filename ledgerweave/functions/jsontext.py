@@ -2,134 +2,133 @@
 
 Separators are ``", "`` and ``": "``, non-ASCII characters are escaped, nulls are
 kept and floats print as Python prints them.
+
+The expressions are SQL text, parsed in one call: built node by node from
+Python, the rows of many operators would take longer to plan than to run.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# JSON tokens of a flat object, and characters escaped by dumps().
+# The tokens of a flat object; the pieces of an encoded string, with
+# escape sequences kept whole; and the characters that need no escaping at all.
 _TOKEN = r'"(?:[^"\\]|\\.)*+"|[^\s",:{}\[\]]+'
-_NOT_PLAIN = r"[^\x00-\x7E]"
-_RUN = r"[\x00-\x7E]+|(?s)[^\x00-\x7E]"
-_CONTROL = [f"{c:04X}" for c in range(0x20) if f"{c:04X}" != f"{c:04x}"]
+_PIECE = r"\\u[0-9A-Fa-f]{4}|\\.|[\x00-\x5B\x5D-\x7E]+|[^\x00-\x7E]+"
+_PLAIN = r"\A[ !#-\[\]-~]*+\z"
+_ASCII = r"\A[\x00-\x7E]*+\z"
+_JAVA_REAL = r"\A-?[0-9.]+E-?[0-9]+\z"
 
 
-def _hex4(code: Column) -> Column:
-    return F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(code), 4, "0")))
+def _sql(text: str) -> str:
+    return "r'" + text + "'"
 
 
-def _escape_run(run: Column) -> Column:
-    code = F.ascii(run)
-    high = F.lit(0xD800) + F.shiftright(code - 0x10000, 10)
-    low = F.lit(0xDC00) + (code - 0x10000).bitwiseAND(F.lit(0x3FF))
-    return (F.when(code < 0x7F, run)
-            .when(code <= 0xFFFF, _hex4(code))
-            .otherwise(F.concat(_hex4(high), _hex4(low))))
+def _float_sql(x: str) -> str:
+    """A double as Python's ``repr`` prints it.
 
+    The digits are Java's, which before Java 19 can be one too many above 1e16.
+    """
+    text = f"CAST({x} AS STRING)"
+    plain = (f"regexp_replace(CAST(try_cast({x} AS DECIMAL(38,20)) AS STRING), "
+             f"{_sql(r'(\.\d+?)0+\z')}, '$1')")
+    short = f"regexp_replace({text}, {_sql(r'\.0E')}, 'E')"
+    padded = f"regexp_replace({short}, {_sql(r'E(-?)(\d)\z')}, 'E$10$2')"
+    signed = f"replace(regexp_replace({padded}, {_sql(r'E(\d)')}, 'E+$1'), 'E', 'e')"
+    return (f"CASE WHEN NOT contains({text}, 'E') THEN {text} "
+            f"WHEN abs({x}) >= 1e-4 AND abs({x}) < 1e16 THEN {plain} ELSE {signed} END")
 
-def escape_non_ascii(text: Column) -> Column:
-    """Characters outside printable ASCII as ``\\uXXXX``, pairs where needed."""
-    runs = F.regexp_extract_all(text, F.lit(_RUN), F.lit(0))
-    escaped = F.array_join(F.transform(runs, _escape_run), "")
-    return F.when(text.rlike(_NOT_PLAIN), escaped).otherwise(text)
 
+def _escape_sql(encoded: str) -> str:
+    units = f"regexp_replace(lower(hex(encode(p, 'UTF-16BE'))), '(.{{4}})', {_sql(r'\\u$1')})"
+    return (f"array_join(transform(regexp_extract_all({encoded}, {_sql(_PIECE)}, 0), p -> "
+            f"CASE WHEN startswith(p, {_sql(chr(92) + 'u')}) THEN lower(p) "
+            f"WHEN ascii(p) < 127 THEN p ELSE {units} END), '')")
 
-def _lower_control(text: Column) -> Column:
-    lowered = text
-    for code in _CONTROL:
-        lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*)\\u{code}", rf"$1\\u{code.lower()}")
-    return F.when(text.contains("\\u00"), lowered).otherwise(text)
 
+def string_sql(x: str) -> str:
+    """SQL text that gives the text ``x`` as a quoted JSON string."""
+    encoded = f"trim(BOTH '[]' FROM to_json(array({x})))"
+    return (f"CASE WHEN {x} RLIKE {_sql(_PLAIN)} THEN concat('\"', {x}, '\"') "
+            f"ELSE {_escape_sql(encoded)} END")
 
-def json_string(text: Column) -> Column:
-    """A quoted JSON string."""
-    quoted = F.to_json(F.array(text))
-    inner = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
-    return escape_non_ascii(_lower_control(inner))
 
+def _key(name: str) -> str:
+    return _sql(json.dumps(name) + ": ")
 
-def json_float(value: Column) -> Column:
-    """A double as Python's ``repr`` prints it.
 
-    The digits are Java's, which before Java 19 can be one too many above 1e16.
-    """
-    text = F.abs(value).cast("string")
-    mantissa = F.split_part(text, F.lit("E"), F.lit(1))
-    power = F.try_element_at(F.split(text, "E"), F.lit(2)).cast("int")
-    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), r"(?<=.)0+\z", "")
-    size = F.length(digits)
-    whole = F.substring(F.rpad(digits, power + 1, "0"), F.lit(1), power + 1)
-    fraction = F.when(size > power + 1, F.substring(digits, power + 2, size)).otherwise("0")
-    short = F.concat(F.substring(digits, 1, 1),
-                     F.when(size > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), size)))
-                     .otherwise(""))
-    exponent = F.concat(F.lit("e"), F.when(power < 0, "-").otherwise("+"),
-                        F.lpad(F.abs(power).cast("string"),
-                               F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))),
-                               F.lit("0")))
-    shown = (F.when(power.isNull(), text)
-             .when((power >= 0) & (power < 16), F.concat(whole, F.lit("."), fraction))
-             .when(power == -4, F.concat(F.lit("0.000"), digits))
-             .otherwise(F.concat(short, exponent)))
-    return F.concat(F.when(value.cast("string").startswith("-"), "-").otherwise(""), shown)
-
-
-def json_value(value: Column, data_type: T.DataType) -> Column:
-    """Any column as JSON text; nulls become ``null``."""
+def _value_sql(x: str, data_type: T.DataType, depth: int = 0) -> str:
+    v = f"v{depth}"
     if isinstance(data_type, T.StructType):
-        fields = [F.concat(json_string(F.lit(f.name)), F.lit(": "),
-                           json_value(value.getField(f.name), f.dataType))
-                  for f in data_type.fields]
-        text = F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
+        fields = ", ".join(f"{_key(f.name)} || {_value_sql(f'{x}.`{f.name}`', f.dataType, depth)}"
+                           for f in data_type.fields)
+        text = f"concat('{{', concat_ws(', ', {fields}), '}}')"
     elif isinstance(data_type, T.ArrayType):
-        items = F.transform(value, lambda v: json_value(v, data_type.elementType))
-        text = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+        item = _value_sql(v, data_type.elementType, depth + 1)
+        text = f"concat('[', array_join(transform({x}, {v} -> {item}), ', '), ']')"
     elif isinstance(data_type, T.MapType):
-        items = F.transform(F.map_entries(value), lambda e: F.concat(
-            json_string(e["key"]), F.lit(": "), json_value(e["value"], data_type.valueType)))
-        text = F.concat(F.lit("{"), F.array_join(items, ", "), F.lit("}"))
+        item = _value_sql(f"{v}.value", data_type.valueType, depth + 1)
+        text = (f"concat('{{', array_join(transform(map_entries({x}), {v} -> "
+                f"{string_sql(f'{v}.key')} || ': ' || {item}), ', '), '}}')")
     elif isinstance(data_type, (T.IntegralType, T.BooleanType)):
-        text = value.cast("string")
+        text = f"CAST({x} AS STRING)"
+    elif isinstance(data_type, (T.DoubleType, T.FloatType)):
+        text = _float_sql(x)
     elif isinstance(data_type, T.NumericType):
-        text = json_float(value.cast("double"))
+        text = _float_sql(f"CAST({x} AS DOUBLE)")
+    elif isinstance(data_type, T.StringType):
+        text = string_sql(x)
     else:
-        text = json_string(value.cast("string"))
-    return F.coalesce(F.when(value.isNotNull(), text), F.lit("null"))
+        text = string_sql(f"CAST({x} AS STRING)")
+    return f"coalesce({text}, 'null')"
 
 
-def json_object(df_schema: T.StructType, names: list[str] | None = None) -> Column:
-    """The columns of a row as one JSON object."""
-    fields = [f for f in df_schema.fields if names is None or f.name in names]
-    pairs = [F.concat(json_string(F.lit(f.name)), F.lit(": "),
-                      json_value(F.col(f.name), f.dataType)) for f in fields]
-    return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
+def json_string(name: str) -> Column:
+    """A text column as a quoted JSON string; null stays null."""
+    return F.expr(string_sql(name))
 
 
-def _token(token: Column) -> Column:
+def json_value(name: str, data_type: T.DataType) -> Column:
+    """A column of any type as JSON text; nulls become ``null``."""
+    return F.expr(_value_sql(name, data_type))
+
+
+def json_object(schema: T.StructType, names: Sequence[str] | None = None) -> Column:
+    """The columns of a row, or the named ones, as one JSON object."""
+    fields = [f for f in schema.fields if names is None or f.name in names]
+    pairs = ", ".join(f"{_key(f.name)} || {_value_sql(f'`{f.name}`', f.dataType)}" for f in fields)
+    return F.expr(f"concat('{{', concat_ws(', ', {pairs}), '}}')")
+
+
+def _retold_sql(t: str) -> str:
     """A JSON token as Python would print it."""
-    is_text = token.startswith('"')
-    is_real = token.rlike(r"\A-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?\z") & token.rlike(r"[.eE]")
-    return (F.when(is_text, escape_non_ascii(_lower_control(token)))
-            .when(is_real, json_float(token.try_cast("double"))).otherwise(token))
-
-
-def _indented_row(row: Column) -> Column:
-    tokens = F.transform(F.regexp_extract_all(row, F.lit(_TOKEN), F.lit(0)), _token)
-    keys = F.filter(tokens, lambda _, i: i % 2 == 0)
-    values = F.filter(tokens, lambda _, i: i % 2 == 1)
-    lines = F.zip_with(keys, values, lambda k, v: F.concat(F.lit("    "), k, F.lit(": "), v))
-    body = F.concat(F.lit("  {\n"), F.array_join(lines, ",\n"), F.lit("\n  }"))
-    return F.when(F.size(tokens) == 0, F.lit("  {}")).otherwise(body)
-
-
-def indented_rows(rows: Column) -> Column:
-    """A list of flat JSON objects, one field per line, indented by two spaces."""
-    body = F.array_join(F.transform(rows, _indented_row), ",\n")
-    return F.when(F.size(rows) == 0, F.lit("[]")).otherwise(
-        F.concat(F.lit("[\n"), body, F.lit("\n]")))
+    foreign = f"NOT {t} RLIKE {_sql(_ASCII)} OR contains({t}, {_sql(chr(92) + 'u')})"
+    number = _float_sql(f"try_cast({t} AS DOUBLE)")
+    return (f"CASE WHEN startswith({t}, '\"') AND ({foreign}) THEN {_escape_sql(t)} "
+            f"WHEN {t} RLIKE {_sql(_JAVA_REAL)} THEN {number} ELSE {t} END")
+
+
+def indented_rows(rows: str, shown: int | None = None) -> Column:
+    """A list of flat JSON objects, one field per line, indented by two spaces.
+
+    ``rows`` names the column.  With ``shown``, only that many rows are listed.
+    """
+    kept = rows if shown is None else f"slice({rows}, 1, {shown})"
+    tokens = f"regexp_extract_all(j, {_sql(_TOKEN)}, 0)"
+    keys, values = (f"filter({tokens}, (t, i) -> i % 2 = {odd})" for odd in (0, 1))
+    lines = (f"zip_with({keys}, {values}, (k, v) -> "
+             f"concat('    ', {_retold_sql('k')}, ': ', {_retold_sql('v')}))")
+    empty = f"j RLIKE {_sql(chr(92) + 'A[{}' + chr(92) + 's]*' + chr(92) + 'z')}"
+    one = (f"CASE WHEN {empty} THEN '  {{}}' ELSE concat('  {{', chr(10), "
+           f"array_join({lines}, concat(',', chr(10))), chr(10), '  }}') END")
+    return F.expr(
+        f"CASE WHEN size({rows}) = 0 THEN '[]' ELSE concat('[', chr(10), array_join("
+        f"transform({kept}, j -> {one}), concat(',', chr(10))), chr(10), ']') END")
 
 
 def strict_record(line: Column, fields: str) -> Column:

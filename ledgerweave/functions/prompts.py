@@ -129,16 +129,16 @@ def sql_prompt(question: Column, template: str = SQL_TEMPLATE, schema: str = TAB
     return fill_template(template, schema=F.lit(schema), question=question)
 
 
-def answer_prompt(question: Column, sql: Column, rows: Column, budget_section: Column,
+def answer_prompt(question: Column, sql: Column, rows: str, budget_section: Column,
                   template: str = ANSWER_TEMPLATE) -> Column:
-    """``rows`` is a list of JSON objects; the first 15 are shown."""
+    """``rows`` names a list of JSON objects; the first 15 are shown."""
     return fill_template(template, question=question, sql=sql, budget_section=budget_section,
-                         results=indented_rows(F.slice(rows, 1, ANSWER_ROWS)))
+                         results=indented_rows(rows, ANSWER_ROWS))
 
 
-def annotation_prompt(question: Column, sql: Column, rows: Column, context: Column,
+def annotation_prompt(question: Column, sql: Column, rows: str, context: Column,
                       baseline: Column, template: str = ANNOTATION_TEMPLATE) -> Column:
-    """``rows`` is a list of JSON objects; the first 10 are shown."""
+    """``rows`` names a list of JSON objects; the first 10 are shown."""
     return fill_template(template, question=question, sql=sql, context_section=context,
                          llama_answer=baseline,
-                         results=indented_rows(F.slice(rows, 1, ANNOTATION_ROWS)))
+                         results=indented_rows(rows, ANNOTATION_ROWS))

@@ -23,19 +23,19 @@ def is_fact(df: DataFrame) -> bool:
 
 def is_expense(df: DataFrame) -> Column:
     """Zero is neither expense nor income."""
-    return F.col("spent").isNotNull() if is_fact(df) else F.col("amount") > 0
+    return F.expr("spent IS NOT NULL" if is_fact(df) else "amount > 0")
 
 
 def is_income(df: DataFrame) -> Column:
-    return F.col("income").isNotNull() if is_fact(df) else F.col("amount") < 0
+    return F.expr("income IS NOT NULL" if is_fact(df) else "amount < 0")
 
 
 def spent(df: DataFrame) -> Column:
-    return F.col("spent") if is_fact(df) else F.when(F.col("amount") > 0, F.col("amount"))
+    return F.expr("spent" if is_fact(df) else "CASE WHEN amount > 0 THEN amount END")
 
 
 def income(df: DataFrame) -> Column:
-    return F.col("income") if is_fact(df) else F.when(F.col("amount") < 0, -F.col("amount"))
+    return F.expr("income" if is_fact(df) else "CASE WHEN amount < 0 THEN -amount END")
 
 
 def row_count(df: DataFrame) -> Column:
@@ -49,10 +49,7 @@ def metric(df: DataFrame, name: str) -> Column:
     if name == "income":
         return income(df)
     if name == "net":
-        if is_fact(df):
-            zero = F.lit(0)
-            return F.coalesce(F.col("income"), zero) - F.coalesce(F.col("spent"), zero)
-        return -F.col("amount")
+        return F.expr("coalesce(income, 0) - coalesce(spent, 0)" if is_fact(df) else "-amount")
     raise ValueError(f"unknown metric: {name!r}")
 
 

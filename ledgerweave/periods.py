@@ -38,10 +38,11 @@ class Period:
     start: dt.date
     end: dt.date | None = None
 
-    def contains(self, column: Column | str) -> Column:
-        c = F.col(column) if isinstance(column, str) else column
-        inside = c >= F.lit(self.start)
-        return inside if self.end is None else inside & (c < F.lit(self.end))
+    def contains(self, column: str) -> Column:
+        inside = f"{column} >= DATE '{self.start}'"
+        if self.end is not None:
+            inside += f" AND {column} < DATE '{self.end}'"
+        return F.expr(inside)
 
 
 def hull(*periods: Period) -> Period:
@@ -77,5 +78,5 @@ def resolve(period: str | Period, as_of: dt.date | str) -> Period:
     return Period(month_start(today, -n), month_start(today))
 
 
-def in_period(column: Column | str, period: str | Period, as_of: dt.date | str) -> Column:
+def in_period(column: str, period: str | Period, as_of: dt.date | str) -> Column:
     return resolve(period, as_of).contains(column)

@@ -16,7 +16,7 @@ from ledgerweave.sources.questions import Domain
 
 def with_prompts(raw: DataFrame, domain: Domain) -> DataFrame:
     return raw.withColumn("annotation_prompt", annotation_prompt(
-        F.col("question"), F.col("sql"), F.col("rows"), F.col("context_section"),
+        F.col("question"), F.col("sql"), "rows", F.col("context_section"),
         F.col("llama_answer"), domain.annotation_template))
 
 

@@ -40,7 +40,7 @@ def answer_questions(spark: SparkSession, texts: Sequence[tuple[str, str]],
     named = F.transform("rows", lambda r: F.get_json_object(r, "$.category"))
     answers = answers.withColumn("categories", F.filter(named, lambda c: F.coalesce(c, F.lit("")) != ""))
     with_context = budget_context(answers, budgets, ["q_no"], ())
-    prompt = answer_prompt(F.col("question"), F.col("sql"), F.col("rows"),
+    prompt = answer_prompt(F.col("question"), F.col("sql"), "rows",
                            F.col("context_section"), domain.answer_template)
     return (with_context.drop("categories")
             .withColumn("full_prompt", F.when(F.size("rows") > 0, prompt).otherwise(""))

@@ -7,7 +7,8 @@ are far smaller than the transactions.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
@@ -25,8 +26,9 @@ from ledgerweave.operators.ranking import top_k
 from ledgerweave.plans.completion import complete
 from ledgerweave.plans.resume import FETCHED, STORED, outcome, pending
 from ledgerweave.sources.questions import Call, Domain, Question
-from ledgerweave.sources.shared import write_through
+from ledgerweave.sources.shared import shared_dir, write_through
 
+_CALLS_PER_JOB = 8
 _MONTHLY = ("this_month", "last_month", "this_year", "same_month_last_year", "last_3_months")
 
 
@@ -124,54 +126,60 @@ OPERATORS: dict[str, Callable] = {
 
 
 def _branch(df: DataFrame, order: Sequence[Column], by: Sequence[str], cap: int,
-            targets: Column) -> DataFrame:
-    """Result rows as JSON with their rank, once per binding that uses them."""
+            call: Column) -> DataFrame:
+    """Result rows as JSON with their rank and the call they answer."""
     category = F.col("category") if "category" in df.columns else F.lit(None).cast("string")
     names = [c for c in df.columns if c not in (*by, "rank", "slice")]
-    if order:
-        numbered = df if "rank" in df.columns else top_k(df, by, order, cap)
-    else:
-        numbered = df.withColumn("rank", F.lit(1))
-    return (numbered.where(F.col("rank") <= cap)
-            .select(*by, F.explode(targets).alias("b"), F.col("rank"),
-                    json_object(df.schema, names).alias("row"), category.alias("category"))
-            .select(*by, "b.binding", "b.part", "rank", "row", "category"))
+    if not order:
+        df = df.withColumn("rank", F.lit(1))
+    elif "rank" not in df.columns:
+        df = top_k(df, by, order, cap)
+    return df.where(F.col("rank") <= cap).select(
+        *by, call.alias("call"), "rank", json_object(df.schema, names).alias("row"),
+        category.alias("category"))
 
 
-def _targets(pairs: Sequence[tuple[str, int]]) -> Column:
-    return F.array(*[F.struct(F.lit(b).alias("binding"), F.lit(p).alias("part"))
-                     for b, p in pairs])
-
-
-def answer_rows(tables: Tables, questions: Sequence[Question], cap: int = FETCHED) -> DataFrame:
-    """Rows of all bindings of the bank: tenant, binding, part, rank, row, category."""
-    uses: dict[Call, list[tuple[str, int]]] = {}
-    for binding, calls in {q.binding: q.calls for q in questions}.items():
-        for part, c in enumerate(calls):
-            uses.setdefault(c, []).append((binding, part))
+def _branches(tables: Tables, calls: Sequence[Call], cap: int) -> Iterator[DataFrame]:
+    """The calls' rows; calls of one family share a scan."""
     by = list(tables.by)
-    branches = []
-    totals = {c: dict(c.params) for c in uses if c.operator == "spend_total"}
+    totals = {c.text: dict(c.params) for c in calls if c.operator == "spend_total"}
     if totals:
-        sums = spending.spend_totals(
-            tables.daily, tables.as_of, {c.text: p for c, p in totals.items()}, by=by,
-            tenants=tables.tenants)
-        lookup = F.create_map(*[x for c in totals for x in (F.lit(c.text), _targets(uses[c]))])
-        branches.append(_branch(sums, (), by, cap, lookup[F.col("slice")]))
-    statuses = [c for c in uses if c.operator == "budget_status"]
+        sums = spending.spend_totals(tables.daily, tables.as_of, totals, by=by,
+                                     tenants=tables.tenants)
+        yield _branch(sums, (), by, cap, F.col("slice"))
+    statuses = {dict(c.params)["category"]: c.text for c in calls if c.operator == "budget_status"}
     if statuses:
-        lookup = F.create_map(*[x for c in statuses for x in (
-            F.lit(dict(c.params)["category"]), _targets(uses[c]))])
         status = budgeting.budget_status(tables.monthly, tables.budgets, tables.as_of, by=by)
-        wanted = status.where(F.col("category").isin(*[dict(c.params)["category"]
-                                                       for c in statuses]))
-        branches.append(_branch(wanted, (), by, cap, lookup[F.col("category")]))
-    for c, pairs in uses.items():
-        if c.operator in ("spend_total", "budget_status"):
-            continue
-        df, order = OPERATORS[c.operator](tables, dict(c.params))
-        branches.append(_branch(df, order, by, cap, _targets(pairs)))
-    return reduce(DataFrame.unionByName, branches)
+        wanted = status.where(F.col("category").isin(*statuses))
+        any_text = next(iter(statuses.values()))
+        category = next(iter(statuses))
+        before, after = any_text.split(repr(category))
+        yield _branch(wanted, (), by, cap, F.concat(
+            F.lit(before + "'"), F.col("category"), F.lit("'" + after)))
+    for c in calls:
+        if c.operator not in ("spend_total", "budget_status"):
+            df, order = OPERATORS[c.operator](tables, dict(c.params))
+            yield _branch(df, order, by, cap, F.lit(c.text))
+
+
+def answer_rows(tables: Tables, questions: Sequence[Question], cap: int = FETCHED) -> DataFrame:
+    """Rows of all bindings of the bank: tenant, binding, part, rank, row, category.
+
+    The calls' rows are written a few calls at a time, which keeps each job's
+    plan small, and read back as one table.
+    """
+    uses = {(c.text, q.binding, part) for q in questions for part, c in enumerate(q.calls)}
+    calls = list(dict.fromkeys(c for q in questions for c in q.calls))
+    spark = tables.transactions.sparkSession
+    path, schema = shared_dir(spark), None
+    branches = list(_branches(tables, calls, cap))
+    for at in range(0, len(branches), _CALLS_PER_JOB):
+        rows = reduce(DataFrame.unionByName, branches[at:at + _CALLS_PER_JOB])
+        rows.write.mode("append").parquet(path)
+        schema = rows.schema
+    bindings = spark.createDataFrame(sorted(uses), "call string, binding string, part int")
+    return (spark.read.schema(schema).parquet(path)
+            .join(F.broadcast(bindings), "call").drop("call"))
 
 
 def gather_rows(rows: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -204,6 +212,15 @@ def budget_context(examples: DataFrame, budgets: DataFrame, key: Sequence[str],
             .withColumn("context_section", F.coalesce("_context", F.lit(""))).drop("_context"))
 
 
+def tenant_questions(tenants: DataFrame, questions: Sequence[Question]) -> DataFrame:
+    """Every tenant with every question of the bank."""
+    bank = F.from_json(
+        F.lit(json.dumps([{"q_no": i, "question": q.text, "binding": q.binding}
+                          for i, q in enumerate(questions, 1)])),
+        "array<struct<q_no:int,question:string,binding:string>>")
+    return tenants.select("*", F.explode(bank).alias("_q")).select(*tenants.columns, "_q.*")
+
+
 def collect_answers(tables: Tables, domain: Domain, done: DataFrame | None = None,
                     cap: int = FETCHED) -> DataFrame:
     """One row per tenant and question that is not done yet.
@@ -214,10 +231,7 @@ def collect_answers(tables: Tables, domain: Domain, done: DataFrame | None = Non
     by = list(tables.by)
     gathered = gather_rows(answer_rows(tables, domain.questions, cap), by)
     answered = budget_context(gathered, tables.budgets, [*by, "binding"], by)
-    bank = F.array(*[F.struct(F.lit(i).alias("q_no"), F.lit(q.text).alias("question"),
-                              F.lit(q.binding).alias("binding"))
-                     for i, q in enumerate(domain.questions, 1)])
-    work = tables.tenants.select(*by, F.explode(bank).alias("q")).select(*by, "q.*")
+    work = tenant_questions(tables.tenants, domain.questions)
     if done is not None:
         work = pending(work, done, [c for c in (*by, "question") if c in done.columns])
     rows = F.coalesce("rows", F.array().cast("array<string>"))
@@ -225,18 +239,18 @@ def collect_answers(tables: Tables, domain: Domain, done: DataFrame | None = Non
             .select(*by, "q_no", "question", F.col("binding").alias("sql"), rows.alias("rows"),
                     F.coalesce("context_section", F.lit("")).alias("context_section"),
                     F.lit("").alias("error")))
-    prompt = prompts.answer_prompt(F.col("question"), F.col("sql"), F.col("rows"),
+    prompt = prompts.answer_prompt(F.col("question"), F.col("sql"), "rows",
                                    F.col("context_section"), domain.answer_template)
     has_rows = F.size("rows") > 0
     return (full.withColumn("full_prompt", F.when(has_rows, prompt).otherwise(""))
             .withColumn("outcome", outcome(F.col("error"), F.col("rows"))))
 
 
-def chat_prompt(prompt: Column, system: str) -> Column:
-    """A prompt with its system text as a JSON message list, the input of a chat function."""
-    user = F.array(F.struct(F.lit("user").alias("role"), prompt.alias("content")))
-    messages = prepend_system(user, F.lit(system))
-    return json_value(messages, message_columns())
+def with_chat(df: DataFrame, prompt: str, system: str, name: str) -> DataFrame:
+    """Adds a prompt with its system text as a JSON message list, as chat functions take it."""
+    user = F.array(F.struct(F.lit("user").alias("role"), F.col(prompt).alias("content")))
+    return (df.withColumn("_messages", prepend_system(user, F.lit(system)))
+            .withColumn(name, json_value("_messages", message_columns())).drop("_messages"))
 
 
 def baseline_answers(answers: DataFrame, domain: Domain, fn: Callable, **options) -> DataFrame:
@@ -245,7 +259,7 @@ def baseline_answers(answers: DataFrame, domain: Domain, fn: Callable, **options
     A failed call keeps rows, context and prompt, and sets ``error``.
     """
     ready = answers.where(F.col("outcome") == "ok").drop("error")
-    asked = ready.withColumn("_chat", chat_prompt(F.col("full_prompt"), domain.system_prompt))
+    asked = with_chat(ready, "full_prompt", domain.system_prompt, "_chat")
     got = (complete(asked, "_chat", fn, error="_error", **options).drop("_chat")
            .withColumn("error", F.coalesce("_error", F.lit("")))
            .withColumn("answer", F.coalesce("answer", F.lit(""))).drop("_error"))

@@ -48,7 +48,7 @@ def records(spark, d):
 
 def ledger_lines(spark, d) -> DataFrame:
     t = turns(spark, d)
-    good = F.concat(F.lit('{"question": '), jsontext.json_string(F.col("text")),
+    good = F.concat(F.lit('{"question": '), jsontext.json_string("text"),
                     F.lit(', "sql": "s"}'))
     kind = (F.col("conv_id") + F.col("turn")) % 7
     line = (F.when(kind == 0, good)
@@ -78,9 +78,10 @@ def _training_lines(spark, d) -> DataFrame:
     noted = F.transform("messages", lambda m, i: F.struct(
         m["role"].alias("role"), m["content"].alias("content"),
         F.when(i == 0, F.col("conv_id").cast("string")).alias("_question")))
-    line = chat.record_line(noted, F.col("conv_id").cast("string"), F.lit("s"))
-    lines = records(spark, d).select(F.explode(F.array(line, F.lit("  "))).alias("value"))
-    return lines
+    rows = records(spark, d).select(noted.alias("messages"), F.struct(
+        F.col("conv_id").cast("string").alias("question"), F.lit("s").alias("sql"))
+        .alias("metadata"))
+    return rows.select(F.explode(F.array(chat.record_line(), F.lit("  "))).alias("value"))
 
 
 def training_rows(spark, d):
@@ -190,12 +191,12 @@ def indented_rows(spark, d):
     lists = (kept.groupBy("user_id")
              .agg(F.array_sort(F.collect_list(F.struct("rank", row.alias("row"))))["row"]
                   .alias("rows")))
-    return lists.select("user_id", jsontext.indented_rows(F.col("rows")).alias("results"))
+    return lists.select("user_id", jsontext.indented_rows("rows").alias("results"))
 
 
 def extract_completion(spark, d):
     t = turns(spark, d)
-    quoted = jsontext.json_string(F.concat(F.lit("  "), F.col("text"), F.lit(" \n")))
+    quoted = jsontext.json_string(r"concat('  ', text, ' \n')")
     bodies = {
         "choices": F.concat(F.lit('{"choices": [{"message": {"content": '), quoted, F.lit("}}]}")),
         "message": F.concat(F.lit('{"message": {"content": '), quoted, F.lit("}}")),
@@ -227,7 +228,7 @@ def _words(spark, d) -> DataFrame:
 
 
 def event_chunks(spark, d) -> DataFrame:
-    quoted = jsontext.json_string(F.concat("word", F.lit(" ")))
+    quoted = jsontext.json_string("concat(word, ' ')")
     lines = F.array(
         F.when(F.col("i") == F.col("stop"), "data: [DONE]").otherwise(": keep-alive"),
         F.concat(F.lit('data: {"choices": [{"delta": {"content": '), quoted, F.lit("}}]}\n")),
@@ -240,7 +241,7 @@ def event_chunks(spark, d) -> DataFrame:
 
 
 def object_chunks(spark, d) -> DataFrame:
-    quoted = jsontext.json_string(F.concat("word", F.lit(" ")))
+    quoted = jsontext.json_string("concat(word, ' ')")
     done = F.when(F.col("i") == F.col("stop"), "true").otherwise("false")
     lines = F.array(F.lit("not json"), F.concat(
         F.lit('{"message": {"content": '), quoted, F.lit('}, "done": '), done, F.lit("}")))
@@ -281,10 +282,8 @@ def complete_prompts(spark, d):
 # Collecting and annotating.
 
 def _bank(spark, d):
-    return star.accounts(spark, d).select("user_id").distinct().select(
-        "user_id", F.explode(F.array(*[
-            F.struct(F.lit(i).alias("q_no"), F.lit(q.text).alias("question"))
-            for i, q in enumerate(DOMAIN.questions, 1)])).alias("q")).select("user_id", "q.*")
+    tenants = star.accounts(spark, d).select("user_id").distinct()
+    return collect.tenant_questions(tenants, DOMAIN.questions).drop("binding")
 
 
 def collect_resume(spark, d):
@@ -349,9 +348,7 @@ def _turn_examples(spark, d) -> DataFrame:
 def _annotated_before(spark, d) -> DataFrame:
     old = _turn_examples(spark, d).where(F.length("full_prompt") % 3 == 0)
     noted = old.withColumn("status", F.lit("ok")).withColumn("gold_answer", F.lit("old"))
-    rec = annotating.training_records(noted, DOMAIN)
-    line = chat.record_line(F.col("messages"), F.col("metadata.question"), F.col("metadata.sql"))
-    return rec.select(line.alias("value"))
+    return annotating.training_records(noted, DOMAIN).select(chat.record_line().alias("value"))
 
 
 def annotate_resume(spark, d):

@@ -14,7 +14,7 @@ SPLITS = ("train", "valid", "test")
 def raw_example_line() -> Column:
     """A raw example as one JSON line; ``rows`` are JSON objects already."""
     def text(name):
-        return F.concat(F.lit(f'"{name}": '), json_string(F.coalesce(name, F.lit(""))))
+        return F.concat(F.lit(f'"{name}": '), json_string(f"coalesce({name}, '')"))
     rows = F.concat(F.lit('"rows": ['), F.array_join("rows", ", "), F.lit("]"))
     parts = [text("question"), text("sql"), rows, text("context_section"), text("full_prompt"),
              text("llama_answer"), text("gold_answer")]
@@ -27,8 +27,7 @@ def append_raw_examples(examples: DataFrame, path: str) -> None:
 
 
 def append_training_records(records: DataFrame, path: str) -> None:
-    line = record_line(F.col("messages"), F.col("metadata.question"), F.col("metadata.sql"))
-    records.select(line.alias("value")).write.mode("append").text(path)
+    records.select(record_line().alias("value")).write.mode("append").text(path)
 
 
 def write_splits(rows: DataFrame, folder: str) -> None:
@@ -36,7 +35,7 @@ def write_splits(rows: DataFrame, folder: str) -> None:
 
     ``rows`` has one row per record and split.
     """
-    line = messages_line(F.col("messages"), rows.schema["messages"].dataType)
+    line = messages_line(rows.schema["messages"].dataType)
     (rows.select("split", line.alias("value"))
      .write.mode("overwrite").partitionBy("split").text(folder))
 
