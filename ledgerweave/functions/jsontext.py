@@ -135,9 +135,10 @@ def strict_record(line: Column, fields: str) -> Column:
     """Parse one JSON object; null for anything Python's parser would refuse.
 
     A closing field after the line makes text behind the object an error, which
-    a plain ``from_json`` would pass over.
+    a plain ``from_json`` would pass over.  The one-element array holds the
+    parsed line, so that it is parsed once.
     """
     wrapped = F.concat(F.lit('{"r":['), line, F.lit('],"_end":1}'))
     parsed = F.from_json(wrapped, f"r array<{fields}>, _end int", {"allowSingleQuotes": "false"})
-    whole = (parsed["_end"] == 1) & (F.size(parsed["r"]) == 1)
-    return F.when(whole, parsed["r"][0])
+    return F.transform(F.array(parsed), lambda p: F.when(
+        (p["_end"] == 1) & (F.size(p["r"]) == 1), p["r"][0]))[0]

@@ -19,13 +19,17 @@ EVENT_PREFIX = "data: "
 STOP_LINE = "[DONE]"
 
 
-def _runs(chunks: DataFrame, token: Column, stop: Column, keep_stop: bool) -> DataFrame:
-    """Joined text per request and run of sequence numbers, and whether it stops there."""
-    rows = chunks.select("request_id", "seq", token.alias("t"), stop.alias("s"))
-    rows = rows.where((F.coalesce(F.col("t"), F.lit("")) != "") | F.col("s"))
+def _runs(chunks: DataFrame, event: Column, keep_stop: bool) -> DataFrame:
+    """Joined text per request and run of sequence numbers, and whether it stops there.
+
+    ``event`` has a token ``t`` and a stop flag ``s``.  Lines with neither are
+    left out by the aggregate: a filter would parse every line a second time.
+    """
+    rows = chunks.select("request_id", "seq", event.alias("e"))
+    item = F.expr("CASE WHEN e.t <> '' THEN struct(seq, e.t AS t) END")
     runs = rows.groupBy("request_id", segment_of(F.col("seq")).alias("segment")).agg(
-        F.array_sort(F.collect_list(F.struct("seq", "t"))).alias("items"),
-        F.min(F.when(F.col("s"), F.col("seq"))).alias("stop"))
+        F.array_sort(F.collect_list(item)).alias("items"),
+        F.min(F.expr("CASE WHEN e.s THEN seq END")).alias("stop"))
     last = F.coalesce(F.col("stop"), F.lit(2**63 - 1))
     kept = F.filter("items", lambda i: i["seq"] <= last if keep_stop else i["seq"] < last)
     return runs.select("request_id", "segment", F.array_join(kept["t"], "").alias("text"),
@@ -41,33 +45,35 @@ def _join_runs(runs: DataFrame) -> DataFrame:
     return whole.select("request_id", F.array_join(kept["text"], "").alias("text"))
 
 
-def event_tokens(raw_line: Column) -> tuple[Column, Column]:
-    """Token and stop flag of an event line; other lines give neither."""
-    line = strip(raw_line)
-    data = F.when(line.startswith(EVENT_PREFIX), F.substring(line, F.lit(7), F.length(line)))
-    record = strict_record(
-        data, "struct<choices:array<struct<delta:struct<content:string>>>>")
-    token = F.try_element_at(record["choices"], F.lit(1))["delta"]["content"]
-    return token, F.coalesce(data == STOP_LINE, F.lit(False))
+def event_token(raw_line: Column) -> Column:
+    """Token ``t`` and stop flag ``s`` of an event line; other lines have neither."""
+    record = "struct<choices:array<struct<delta:struct<content:string>>>>"
 
+    def read(line: Column) -> Column:
+        data = F.substring(line, F.lit(len(EVENT_PREFIX) + 1), F.lit(2**31 - 1))
+        token = F.get(strict_record(data, record)["choices"], F.lit(0))["delta"]["content"]
+        return F.when(line.startswith(EVENT_PREFIX), F.struct(
+            token.alias("t"), (line == EVENT_PREFIX + STOP_LINE).alias("s")))
+    return F.transform(F.array(strip(raw_line)), read)[0]
 
-def object_tokens(raw_line: Column) -> tuple[Column, Column]:
-    """Token and done flag of a line holding one JSON object."""
+
+def object_token(raw_line: Column) -> Column:
+    """Token ``t`` and done flag ``s`` of a line holding one JSON object."""
     record = strict_record(raw_line, "struct<message:struct<content:string>,done:string>")
-    done = F.coalesce(record["done"], F.lit("false"))
-    return record["message"]["content"], ~done.isin("false", "0", "0.0", "", "[]", "{}")
+    return F.transform(F.array(record), lambda r: F.struct(
+        r["message"]["content"].alias("t"),
+        (~F.coalesce(r["done"], F.lit("false")).isin("false", "0", "0.0", "", "[]", "{}"))
+        .alias("s")))[0]
 
 
 def reassemble_events(chunks: DataFrame) -> DataFrame:
     """Text of each request logged as event lines, up to its stop line."""
-    token, stop = event_tokens(F.col("raw_line"))
-    return _join_runs(_runs(chunks, token, stop, keep_stop=False))
+    return _join_runs(_runs(chunks, event_token(F.col("raw_line")), keep_stop=False))
 
 
 def reassemble_objects(chunks: DataFrame) -> DataFrame:
     """Text of each request logged as object lines; the last line's token counts."""
-    token, done = object_tokens(F.col("raw_line"))
-    return _join_runs(_runs(chunks, token, done, keep_stop=True))
+    return _join_runs(_runs(chunks, object_token(F.col("raw_line")), keep_stop=True))
 
 
 def first_with_tokens(first: DataFrame, second: DataFrame) -> DataFrame:

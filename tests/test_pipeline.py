@@ -1,0 +1,183 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerweave.plans import adhoc, annotate, answering, collect, completion, resume
+from ledgerweave.sources import jsonl, sinks, tables
+from ledgerweave.sources.questions import QUESTIONS, Domain, Question, call, rename
+from ledgerweave.streaming import tokens
+from ledgerweave.streaming.increments import annotate_increments
+
+NO_WAIT = {"backoff": 0, "pause": 0}
+
+
+def test_question_bank():
+    assert len(QUESTIONS) == 88 and len({q.text for q in QUESTIONS}) == 88
+    assert {c.operator for q in QUESTIONS for c in q.calls} <= {
+        *collect.OPERATORS, "spend_total", "budget_status"}
+
+
+def test_rename():
+    got = rename([Question("q", (call("spend_total", category="A", period="p"),))], {"A": "B"})
+    assert got[0].binding == "spend_total(category='B', period='p')"
+
+
+@pytest.mark.parametrize("broken", [{"questions": ()}, {"system_prompt": ""},
+                                    {"annotation_template": "{question}"},
+                                    {"questions": (Question("q", ()),)}])
+def test_domain_contract(broken):
+    with pytest.raises(ValueError):
+        Domain(**broken)
+
+
+def test_resume_keeps_duplicates_and_ignores_nulls(spark):
+    work = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "question string")
+    done = spark.createDataFrame([("a",), (None,), ("a",)], "question string")
+    got = sorted(r[0] for r in resume.pending(work, done).collect())
+    assert got == ["b", "b", "c"]
+
+
+def test_outcomes(spark):
+    rows = [("boom", ["r"], "error"), ("", [], "no_data"), (None, None, "no_data"),
+            ("", ['{"x": null}'], "ok")]
+    df = spark.createDataFrame(rows, "error string, rows array<string>, want string")
+    assert df.where(resume.outcome(F.col("error"), F.col("rows")) == F.col("want")).count() == 4
+    outcomes = spark.createDataFrame([("ok",), ("error",), ("no_data",), ("already_done",)],
+                                     "outcome string")
+    got = {r.result: r.n for r in resume.collect_summary(outcomes).collect()}
+    assert got == {"new": 1, "errors": 1, "skipped": 2}
+
+
+@pytest.mark.parametrize("failures,answered", [(0, True), (1, True), (2, True), (3, False)])
+def test_completion_retries(spark, failures, answered):
+    def flaky(prompts, seen={}):
+        seen[prompts[0]] = seen.get(prompts[0], 0) + 1
+        if seen[prompts[0]] <= failures:
+            raise RuntimeError("busy")
+        return [p.upper() for p in prompts]
+    df = spark.createDataFrame([("a",), ("b",)], "p string").coalesce(1)
+    got = completion.complete(df, "p", flaky, **NO_WAIT).collect()
+    assert [r.answer for r in got] == (["A", "B"] if answered else [None, None])
+    assert [r.error for r in got] == ([None] * 2 if answered else ["RuntimeError: busy"] * 2)
+
+
+def test_completion_counts_answers(spark):
+    df = spark.createDataFrame([("a",)], "p string")
+    got = completion.complete(df, "p", lambda ps: [], **NO_WAIT).first()
+    assert got.answer is None and "0 answers to 1" in got.error
+
+
+def test_one_failure_does_not_touch_the_others(spark):
+    def picky(prompts):
+        if prompts[0] == "bad":
+            raise ValueError("no")
+        return prompts
+    df = spark.createDataFrame([("x",), ("bad",), ("y",)], "p string").coalesce(1)
+    got = completion.complete(df, "p", picky, concurrency=2, **NO_WAIT).collect()
+    assert {r.p: r.answer for r in got} == {"x": "x", "bad": None, "y": "y"}
+
+
+QUERY_ERRORS = ["DROP TABLE t", "SELECT 1; SELECT 2", "SELECT nope FROM t", "INSERT INTO t VALUES (1)",
+                "SELECT reflect('java.lang.System', 'nanoTime')", "SHOW TABLES",
+                "SELECT IDENTIFIER('java_' || 'method')('java.lang.System', 'nanoTime')",
+                "SELECT * FROM parquet.`/root/testdata/sf0.001/nation.parquet`"]
+
+
+@pytest.mark.parametrize("sql", QUERY_ERRORS)
+def test_queries_refused(spark, sql):
+    t = spark.range(3).toDF("a")
+    got = adhoc.run_query(spark, sql, {"t": t})
+    assert got.rows is None and got.error.startswith("SQL error: ")
+
+
+def test_query_cap_and_late_failure(spark):
+    t = spark.range(500).toDF("a")
+    got = adhoc.run_query(spark, "SELECT a FROM t ORDER BY a DESC -- newest;", {"t": t})
+    rows, error = adhoc.fetch_rows(got)
+    assert error == "" and len(rows) == 200 and json.loads(rows[0]) == {"a": 499}
+    escape = adhoc.run_query(spark, "SELECT a FROM t) UNION ALL (SELECT a FROM t", {"t": t})
+    assert len(adhoc.fetch_rows(escape)[0]) <= 200
+    late = adhoc.run_query(spark, "SELECT 1 / (a - a) AS x FROM t", {"t": t})
+    rows, error = adhoc.fetch_rows(late)
+    assert rows == [] and error.startswith("SQL error: ")
+
+
+def test_answers_from_query_texts(spark):
+    t = spark.createDataFrame([("A", 1.5), ("B", 2.0)], "category string, amount double")
+    limits = spark.createDataFrame([("A", 2.5), ("C", 1.0)], "category string, monthly_limit double")
+    got = answering.answer_questions(
+        spark, [("all?", "```sql\nSELECT category, amount FROM t ORDER BY amount\n```"), ("none?", "")],
+        {"t": t}, limits, Domain()).orderBy("q_no").collect()
+    assert got[0].rows == ['{"category": "A", "amount": 1.5}', '{"category": "B", "amount": 2.0}']
+    assert got[0].context_section == "Budget limits:\n  A: $2/month\n\n"
+    want = json.dumps([json.loads(r) for r in got[0].rows], indent=2)
+    assert f"Data returned:\n{want}\nBudget limits:" in got[0].full_prompt
+    assert (got[1].outcome, got[1].error) == ("error", answering.NO_SQL)
+
+
+def raw(spark, questions):
+    rows = [(q, "s", ['{"a": 1}'], "", "prompt " + q, "base", "") for q in questions]
+    return spark.createDataFrame(rows, "question string, sql string, rows array<string>, "
+                                 "context_section string, full_prompt string, "
+                                 "llama_answer string, gold_answer string")
+
+
+def test_annotation_resumes(spark, tmp_path):
+    domain, out = Domain(), str(tmp_path / "out")
+    first = annotate.annotate(raw(spark, ["a", "b"]), domain, lambda ps: ["gold"], **NO_WAIT)
+    sinks.append_training_records(annotate.training_records(first, domain), out)
+    done = jsonl.annotated_questions(spark.read.text(out))
+    again = annotate.annotate(raw(spark, ["a", "b", "c"]), domain, lambda ps: ["gold"], done, **NO_WAIT)
+    assert [r.question for r in again.collect()] == ["c"]
+    strict = jsonl.read_strict(spark.read.text(out))
+    assert strict.count() == 2
+
+
+def test_stream_adds_only_new_questions(spark, tmp_path):
+    paths = [str(tmp_path / p) for p in ("raw", "out", "state")]
+    for questions in (["a", "b"], ["b", "c"]):
+        sinks.append_raw_examples(raw(spark, questions), paths[0])
+        annotate_increments(spark, *paths, Domain(), lambda ps: ["gold"] * len(ps),
+                            **NO_WAIT).awaitTermination()
+    lines = [json.loads(r[0]) for r in spark.read.text(paths[1]).collect()]
+    assert sorted(x["metadata"]["question"] for x in lines) == ["a", "b", "c"]
+
+
+EVENTS = [": comment", 'data: {"choices": [{"delta": {"role": "assistant"}}]}', "data: {broken",
+          'data: {"choices": [{"delta": {"content": "Hel"}}]}', 'data: {"choices": []}',
+          ' data: {"choices": [{"delta": {"content": "lo"}}]} \r', "data:",
+          "data: [DONE]", 'data: {"choices": [{"delta": {"content": " late"}}]}']
+OBJECTS = ['{"message": {"content": "one "}, "done": false}', "broken", '{"message": {}}',
+           '{"message": {"content": "two"}, "done": true}', '{"message": {"content": "late"}}']
+
+
+def chunks(spark, *logs):
+    rows = [(r, i * step, line) for r, step, lines in logs for i, line in enumerate(lines)]
+    return spark.createDataFrame(rows, "request_id long, seq long, raw_line string").repartition(5)
+
+
+@pytest.mark.parametrize("step", [1, 700])
+def test_token_logs(spark, step):
+    """With a step of 700 each request spreads over many runs of sequence numbers."""
+    events = tokens.reassemble_events(chunks(spark, (1, step, EVENTS), (2, step, [": none"])))
+    objects = tokens.reassemble_objects(chunks(spark, (2, step, OBJECTS), (3, step, OBJECTS)))
+    assert {r.request_id: r.text for r in events.collect()} == {1: "Hello", 2: ""}
+    both = tokens.first_with_tokens(events, objects)
+    assert {r.request_id: r.text for r in both.collect()} == {
+        1: "Hello", 2: "one two", 3: "one two"}
+
+
+def test_upsert_last_wins(spark):
+    base = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "name string, balance double")
+    new = spark.createDataFrame([("a", 5.0, 1), ("a", 3.0, 2), ("c", 9.0, 1), ("c", None, 2)],
+                                "name string, balance double, seq int")
+    got = {r.name: r.balance for r in tables.upsert(base, new, ["name"], "seq").collect()}
+    assert got == {"a": 3.0, "b": 2.0, "c": None}
+
+
+def test_check_table(spark):
+    df = spark.createDataFrame([(1, "x"), (1, None), (2, "z")], "id int, c string")
+    got = {r.rule: r.violations
+           for r in tables.check_table(df, "t", ["id", "c"], ["id"], {"c": ["x"]}).collect()}
+    assert got == {"id not null": 0, "c not null": 1, "c in domain": 1, "id unique": 1}
