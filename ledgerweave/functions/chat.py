@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerweave.functions.gather import gather_ordered
-from ledgerweave.functions.jsontext import json_string, json_value, string_sql
+from ledgerweave.functions.jsontext import json_value, string_sql
+from ledgerweave.schemas import TRAINING_RECORD
 
 # Fixed value: the bookkeeping key carried by system messages.
 QUESTION_KEY = "_question"
 MIN_MESSAGES = 2
 
+METADATA = TRAINING_RECORD["metadata"].dataType
+
 
 def message(role: str, content: Column, question: Column | None = None) -> Column:
     note = F.lit(None).cast("string") if question is None else question
@@ -63,7 +66,7 @@ def chat_text(messages: Column, begin: str = "<|im_start|>", split: str = "\n",
     return F.array_join(F.transform(messages, turn), "")
 
 
-def record_line() -> Column:
+def record_line(metadata: T.StructType = METADATA) -> Column:
     """A training record, with ``messages`` and ``metadata``, as one JSON line.
 
     The bookkeeping key is written only where it is set.
@@ -73,9 +76,8 @@ def record_line() -> Column:
     one = (f"concat('{{\"role\": ', {string_sql('m.role')}, ', \"content\": ', "
            f"{string_sql('m.content')}, {note}, '}}')")
     messages = F.expr(f"array_join(transform(messages, m -> {one}), ', ')")
-    return F.concat(F.lit('{"messages": ['), messages, F.lit('], "metadata": {"question": '),
-                    json_string("metadata.question"), F.lit(', "sql": '),
-                    json_string("metadata.sql"), F.lit("}}"))
+    return F.concat(F.lit('{"messages": ['), messages, F.lit('], "metadata": '),
+                    json_value("metadata", metadata), F.lit("}"))
 
 
 def messages_line(data_type: T.DataType) -> Column:

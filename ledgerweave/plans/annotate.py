@@ -33,11 +33,13 @@ def annotate(raw: DataFrame, domain: Domain, fn: Callable, done: DataFrame | Non
                                .otherwise("ok"))
 
 
-def training_records(annotated: DataFrame, domain: Domain,
-                     keep: Sequence[str] = ()) -> DataFrame:
-    """Chat records of the annotated examples; failed ones are left for the next run."""
+def training_records(annotated: DataFrame, domain: Domain, tenant: Sequence[str] = ()) -> DataFrame:
+    """Chat records of the annotated examples; failed ones are left for the next run.
+
+    Tenant columns go into the metadata.
+    """
     messages = training_messages(F.lit(domain.system_prompt), F.col("question"),
                                  F.col("full_prompt"), F.col("gold_answer"))
     return (annotated.where(F.col("status") == "ok")
-            .select(*keep, messages.alias("messages"),
-                    F.struct("question", "sql").alias("metadata")))
+            .select(messages.alias("messages"),
+                    F.struct(*tenant, "question", "sql").alias("metadata")))

@@ -15,7 +15,7 @@ from ledgerweave.operators import spending
 from ledgerweave.operators.measures import narrow
 from ledgerweave.operators.ranking import top_k
 from ledgerweave.plans import annotate as annotating
-from ledgerweave.plans import collect, oracle_dataset as sql, splitting
+from ledgerweave.plans import collect, oracle_dataset as sql, runs, splitting
 from ledgerweave.plans.adhoc import run_query
 from ledgerweave.plans.answering import answer_questions
 from ledgerweave.plans.completion import complete
@@ -271,6 +271,10 @@ def _stub(prompts_: list[str]) -> list[str]:
     return [f"{len(p)} characters" for p in prompts_]
 
 
+def _echo(prompts_: list[str]) -> list[str]:
+    return [f"{len(p)} characters" for p in prompts_]
+
+
 NO_WAIT = {"attempts": 2, "backoff": 0, "pause": 0}
 
 
@@ -321,6 +325,24 @@ def raw_examples(spark, d):
                       "context_section", "full_prompt", "llama_answer", "gold_answer")
 
 
+def phase_counts(spark, d):
+    """Collect, annotate and prepare over folders, the first two run twice each."""
+    base = shared_dir(spark)
+    raw, records_, data = f"{base}/raw", f"{base}/records", f"{base}/data"
+    domain = Domain(questions=DOMAIN.questions[1:2])
+    fields = runs.tenant_fields(["user_id"])
+    counts = []
+    for n in (1, 2):
+        got = runs.run_collect(_star_tables(spark, d), domain, raw)
+        counts.append(got.select(F.lit(f"collect {n}").alias("phase"), "result", "n"))
+    for n in (1, 2):
+        got = runs.run_annotate(spark, raw, records_, domain, _echo, fields, **NO_WAIT)
+        counts.append(got.select(F.lit(f"annotate {n}").alias("phase"), "result", "n"))
+    got = runs.run_prepare(spark, records_, data)
+    counts.append(got.select(F.lit("prepare").alias("phase"), F.col("split").alias("result"), "n"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 def answer_sizes(spark, d):
     raw = collect.raw_examples(_small_answers(spark, d))
     return sinks.answer_sizes(raw.withColumn("gold_answer", F.col("full_prompt")))
@@ -495,6 +517,7 @@ QUERIES = {
     "collect_answers": (collect_answers, sql.COLLECT_ANSWERS),
     "baseline_answers": (baseline_answers, sql.BASELINE_ANSWERS),
     "raw_examples": (raw_examples, sql.RAW_EXAMPLES),
+    "phase_counts": (phase_counts, sql.PHASE_COUNTS),
     "answer_sizes": (answer_sizes, sql.ANSWER_SIZES),
     "budget_context": (budget_context, sql.BUDGET_CONTEXT),
     "annotate_resume": (annotate_resume, sql.ANNOTATE_RESUME),

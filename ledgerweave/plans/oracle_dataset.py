@@ -277,11 +277,30 @@ _SMALL = f"""{_CTES}, {_answers([_TOP])},
 BASELINE_ANSWERS = f"""{_SMALL} SELECT user_id, full_prompt,
   CASE WHEN size % 5 <> 0 THEN size || ' characters' ELSE '' END AS answer,
   CASE WHEN size % 5 = 0 THEN 'RuntimeError: refused' ELSE '' END AS error,
-  CASE WHEN size % 5 = 0 THEN 'error' ELSE 'ok' END AS outcome FROM chats"""
+  CASE WHEN size % 5 = 0 THEN 'error' ELSE 'ok' END AS outcome FROM chats
+  UNION ALL SELECT DISTINCT user_id, '', '', '', 'no_data' FROM accounts
+  WHERE user_id NOT IN (SELECT user_id FROM chats)"""
 RAW_EXAMPLES = f"""{_SMALL} SELECT user_id, {lit(_TOP.text)} AS question, row_lines,
   context_section, full_prompt, '' AS llama_answer, '' AS gold_answer FROM prompts"""
-ANSWER_SIZES = f"""{_SMALL} SELECT user_id, {lit(_TOP.text)} AS question, n_rows,
-  length(full_prompt) AS answer_chars FROM prompts"""
+ANSWER_SIZES = f"""{_SMALL} SELECT user_id, {lit(_TOP.text)} AS question,
+  CAST(n_rows AS INTEGER) AS n_rows, CAST(length(full_prompt) AS INTEGER) AS answer_chars
+  FROM prompts"""
+
+# Tenants with spending last month are collected; the others are skipped each time.
+PHASE_COUNTS = f"""{_CTES}, t AS (SELECT COUNT(DISTINCT user_id) AS all_tenants,
+    COUNT(DISTINCT user_id) FILTER (user_id IN (SELECT user_id FROM transactions
+      WHERE amount > 0 AND {fin.PERIODS['last_month']})) AS n FROM accounts),
+  s AS (SELECT *, GREATEST(1, CAST(floor(n * 0.15::DOUBLE) AS BIGINT)) AS nv FROM t)
+  SELECT * FROM (
+    SELECT 'collect 1' AS phase, 'new' AS result, n FROM t
+    UNION ALL SELECT 'collect 1', 'skipped', all_tenants - n FROM t
+    UNION ALL SELECT 'collect 2', 'skipped', all_tenants FROM t
+    UNION ALL SELECT 'annotate 1', 'annotated', n FROM t
+    UNION ALL SELECT 'annotate 2', 'skipped', n FROM t
+    UNION ALL SELECT 'prepare', 'valid', nv FROM s
+    UNION ALL SELECT 'prepare', 'test', GREATEST(1, LEAST(5, nv)) FROM s
+    UNION ALL SELECT 'prepare', 'train', n - nv - GREATEST(1, LEAST(5, nv)) FROM s)
+  WHERE n > 0"""
 
 INDENTED_ROWS = f"""{_CTES} SELECT user_id, '[' || chr(10) || string_agg('  {{' || chr(10)
   || '    "description": "' || description || '",' || chr(10)

@@ -6,6 +6,8 @@ Each takes lines in a ``value`` column, as ``spark.read.text`` or
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,18 +21,25 @@ def _record(schema: T.StructType) -> Column:
     return strict_record(F.col("value"), schema.simpleString())
 
 
-def done_questions(lines: DataFrame) -> DataFrame:
-    """Distinct questions of earlier output; unusable lines are passed over."""
-    only = T.StructType([RAW_EXAMPLE["question"]])
-    return (lines.select(_record(only)["question"].alias("question"))
+def done_questions(lines: DataFrame, tenant: Sequence[T.StructField] = ()) -> DataFrame:
+    """Distinct questions of earlier output; unusable lines are passed over.
+
+    ``tenant`` gives the tenant columns written beside each question.
+    """
+    record = _record(T.StructType([*tenant, RAW_EXAMPLE["question"]]))
+    names = [f.name for f in tenant] + ["question"]
+    return (lines.select(record.alias("r")).select(*[f"r.{n}" for n in names])
             .where(F.col("question").isNotNull()).distinct())
 
 
-def annotated_questions(lines: DataFrame) -> DataFrame:
+def annotated_questions(lines: DataFrame, tenant: Sequence[T.StructField] = ()) -> DataFrame:
     """Distinct non-empty questions remembered by earlier training records."""
-    record = _record(OPEN_RECORD)
-    first = F.try_element_at(record["messages"], F.lit(1))
-    return (lines.select(first["_question"].alias("question"))
+    shape = T.StructType([*OPEN_RECORD.fields, T.StructField("metadata", T.StructType(
+        [*tenant, T.StructField("question", T.StringType())]))])
+    rows = lines.select(_record(shape).alias("r"))
+    first = F.try_element_at("r.messages", F.lit(1))
+    return (rows.select(*[F.col(f"r.metadata.{f.name}") for f in tenant],
+                        first["_question"].alias("question"))
             .where(F.coalesce(F.col("question"), F.lit("")) != "").distinct())
 
 

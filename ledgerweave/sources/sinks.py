@@ -4,30 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerweave.functions.chat import messages_line, record_line
-from ledgerweave.functions.jsontext import json_string
+from ledgerweave.functions.jsontext import json_string, json_value
+from ledgerweave.schemas import RAW_EXAMPLE
 
 SPLITS = ("train", "valid", "test")
 
 
-def raw_example_line() -> Column:
-    """A raw example as one JSON line; ``rows`` are JSON objects already."""
+def raw_example_line(schema: T.StructType) -> Column:
+    """A raw example as one JSON line; ``rows`` are JSON objects already.
+
+    Columns beside those of a raw example, such as the tenant's, come first.
+    """
     def text(name):
         return F.concat(F.lit(f'"{name}": '), json_string(f"coalesce({name}, '')"))
+    known = set(RAW_EXAMPLE.names)
+    tenant = [F.concat(F.lit(f'"{f.name}": '), json_value(f.name, f.dataType))
+              for f in schema.fields if f.name not in known]
     rows = F.concat(F.lit('"rows": ['), F.array_join("rows", ", "), F.lit("]"))
-    parts = [text("question"), text("sql"), rows, text("context_section"), text("full_prompt"),
-             text("llama_answer"), text("gold_answer")]
+    parts = [*tenant, text("question"), text("sql"), rows, text("context_section"),
+             text("full_prompt"), text("llama_answer"), text("gold_answer")]
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
 
 
 def append_raw_examples(examples: DataFrame, path: str) -> None:
     """Adds lines to the ledger; a failed job adds none."""
-    examples.select(raw_example_line().alias("value")).write.mode("append").text(path)
+    line = raw_example_line(examples.schema)
+    examples.select(line.alias("value")).write.mode("append").text(path)
 
 
 def append_training_records(records: DataFrame, path: str) -> None:
-    records.select(record_line().alias("value")).write.mode("append").text(path)
+    line = record_line(records.schema["metadata"].dataType)
+    records.select(line.alias("value")).write.mode("append").text(path)
 
 
 def write_splits(rows: DataFrame, folder: str) -> None:

@@ -2,38 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ledgerweave.plans.annotate import annotate, training_records
-from ledgerweave.plans.resume import pending
+from ledgerweave.plans.runs import existing_lines
+from ledgerweave.schemas import RAW_EXAMPLE
 from ledgerweave.sources.jsonl import annotated_questions, read_records
 from ledgerweave.sources.questions import Domain
 from ledgerweave.sources.sinks import append_training_records
 
 
 def annotate_increments(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
-                        domain: Domain, fn: Callable, **options):
+                        domain: Domain, fn: Callable, tenant: Sequence[T.StructField] = (),
+                        **options):
     """Starts a query over the raw-example files that are new since the last run.
 
     It ends when they are used up.  Each batch leaves out questions the output
     already has, so a batch that is run again after a failure adds nothing twice.
     """
+    names = [f.name for f in tenant]
+    schema = T.StructType([*tenant, *RAW_EXAMPLE.fields])
+
     def one(lines: DataFrame, _: int) -> None:
-        good, _rejects = read_records(lines)
-        try:
-            done = annotated_questions(spark.read.text(out_dir))
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            done = None  # first run
-        work = good if done is None else pending(good, done)
-        append_training_records(
-            training_records(annotate(work, domain, fn, **options), domain), out_dir)
+        work, _rejects = read_records(lines, schema)
+        earlier = existing_lines(spark, out_dir)
+        done = None if earlier is None else annotated_questions(earlier, tenant)
+        annotated = annotate(work, domain, fn, done, [*names, "question"], **options)
+        append_training_records(training_records(annotated, domain, names), out_dir)
 
     return (spark.readStream.text(raw_dir).writeStream
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).foreachBatch(one).start())
-

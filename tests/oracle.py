@@ -46,9 +46,17 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], Counter(tuple(plain(r[i]) for i in order) for r in rows)
 
 
+KINDS = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+         "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def compare(spark, con, run, sql, sf_dir):
     """None when equal, else a description of the difference."""
     df = run(spark, sf_dir)
+    kinds = {c: KINDS.get(t, t) for c, t in df.dtypes}
+    given = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if kinds != given:
+        return f"types differ: {sorted(set(kinds.items()) ^ set(given.items()))}"
     sc, srows = rows_of(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(sql)
     dc, drows = rows_of([c[0] for c in cur.description], cur.fetchall())
