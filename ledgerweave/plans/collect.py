@@ -7,9 +7,10 @@ are far smaller than the transactions.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,7 @@ from ledgerweave.operators import accounts as acc
 from ledgerweave.operators import budgeting, cashflow, facts, merchants, spending, trends
 from ledgerweave.operators.measures import BY
 from ledgerweave.operators.ranking import top_k
+from ledgerweave.periods import Period, resolve
 from ledgerweave.plans.completion import complete
 from ledgerweave.plans.resume import FETCHED, STORED, outcome, pending
 from ledgerweave.sources.questions import Call, Domain, Question
@@ -40,10 +42,18 @@ class Tables:
     budgets: DataFrame
     as_of: str
     by: Sequence[str] = BY
+    since: dt.date | None = None
+
+    def covering(self, calls: Sequence[Call]) -> Tables:
+        """The same tables with facts that start where the calls' periods do."""
+        return self if self.since else replace(self, since=facts_start(calls, self.as_of))
 
     @cached_property
     def daily(self) -> DataFrame:
-        return write_through(facts.daily_facts(self.transactions, self.by))
+        rows = self.transactions
+        if self.since:
+            rows = rows.where(Period(self.since).contains("tx_date"))
+        return write_through(facts.daily_facts(rows, self.by))
 
     @cached_property
     def monthly(self) -> DataFrame:
@@ -59,6 +69,17 @@ class Tables:
         return self.monthly if all(s in _MONTHLY for s in spans) else self.daily
 
 
+def facts_start(calls: Sequence[Call], as_of: str) -> dt.date:
+    """First day any of the calls looks at; "this year" is the least."""
+    names = {"this_year"}
+    for c in calls:
+        p = dict(c.params)
+        names |= {p[k] for k in ("period", "a", "b") if k in p}
+        if "n" in p:
+            names.add(f"last_{p['n']}_months")
+    return min(resolve(name, as_of).start for name in names)
+
+
 def _sorted(order: Sequence[str]) -> list[Column]:
     """``"name"`` or ``"name desc"`` as sort columns."""
     pairs = [(o.split() + ["asc"])[:2] for o in order]
@@ -170,6 +191,7 @@ def answer_rows(tables: Tables, questions: Sequence[Question], cap: int = FETCHE
     """
     uses = {(c.text, q.binding, part) for q in questions for part, c in enumerate(q.calls)}
     calls = list(dict.fromkeys(c for q in questions for c in q.calls))
+    tables = tables.covering(calls)
     spark = tables.transactions.sparkSession
     path, schema = shared_dir(spark), None
     branches = list(_branches(tables, calls, cap))

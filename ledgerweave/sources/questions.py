@@ -50,7 +50,6 @@ DELIVERY = ("%doordash%", "%uber eats%", "%grubhub%", "%delivery%")
 # The questions in their order.  The operators behind them are
 # defaults and may be replaced.
 _BANK = (
-    # Spending summaries
     ("How much did I spend last month in total?", _spend(period="last_month")),
     ("What were my top 5 spending categories last month?",
      (call("top_categories", period="last_month", k=5),)),
@@ -86,7 +85,6 @@ _BANK = (
     ("How much did I spend last week in total?", _spend(period="last_week")),
     ("What is my daily average spending this month?",
      (call("daily_average", period="this_month"),)),
-    # Budget tracking
     ("Am I over budget on restaurants this month?",
      (call("budget_status", category="Restaurants"),)),
     ("How close am I to my grocery budget this month?",
@@ -104,7 +102,6 @@ _BANK = (
     ("Am I under budget in any categories this month?", (call("budget_ranking", side="under"),)),
     ("How much of my subscription budget have I used?",
      (call("budget_status", category="Subscriptions"),)),
-    # Income and savings
     ("How much did I earn last month?", (call("income_total", period="last_month"),)),
     ("What is my income vs spending this month?", (call("cash_flow", period="this_month"),)),
     ("Am I saving money this month or spending more than I earn?",
@@ -117,7 +114,6 @@ _BANK = (
      (call("compare_periods", a="this_month", b="last_month", measure="income"),)),
     ("How much went into savings this month?",
      (call("account_transfers", account="Savings", period="this_month"),)),
-    # Trends
     ("Has my spending been going up or down over the past 3 months?", _trend()),
     ("How has my restaurant spending trended over the past 3 months?",
      _trend(category="Restaurants")),
@@ -130,7 +126,6 @@ _BANK = (
     ("How has my savings trend looked over the past 3 months?", _trend(measure="net")),
     ("Is my transport spending going up or down?", _trend(category="Transport")),
     ("What is my 3-month trend for total spending?", _trend()),
-    # Merchant lookups
     ("How much have I spent at coffee shops this month?",
      (call("merchant_total", period="this_month", patterns=COFFEE),)),
     ("How many times did I order food delivery last month?",
@@ -149,7 +144,6 @@ _BANK = (
      (call("transaction_count", period="last_month"),)),
     ("How much have I spent at grocery stores this week?",
      _spend(period="this_week", category="Groceries")),
-    # Time comparisons
     ("How does this month's spending compare to the same month last year?",
      (call("compare_periods", a="this_month", b="same_month_last_year"),)),
     ("What was my highest spending month this year?",
@@ -162,7 +156,6 @@ _BANK = (
      (call("extreme_month", measure="net", which="max"),)),
     ("How much did I spend in the first half vs second half of last month?",
      (call("half_split", period="last_month"),)),
-    # Account-specific
     ("How much is on my credit card right now?", (call("account_balance", account="Credit Card"),)),
     ("How much have I spent on my credit card this month?",
      _spend(period="this_month", account="Credit Card")),
@@ -173,7 +166,6 @@ _BANK = (
      (call("account_activity", account="Checking", period="this_week"),)),
     ("How does my credit card spending this month compare to last month?",
      (call("compare_periods", a="this_month", b="last_month", account="Credit Card"),)),
-    # Coaching
     ("Where am I wasting the most money?", _HEADROOM),
     ("What is one spending habit I should change based on my data?", _HEADROOM),
     ("Am I living within my means based on the last 3 months?",
@@ -190,7 +182,6 @@ _BANK = (
      (call("cash_flow", period="this_month"), *_HEADROOM)),
     ("What is the one change that would have the biggest positive impact on my finances?",
      _HEADROOM),
-    # Conversational
     ("Give me a summary of my finances this month.",
      (call("finance_summary", period="this_month"),)),
     ("How am I doing financially this month?", (call("finance_summary", period="this_month"),)),
