@@ -159,7 +159,7 @@ def test_monthly_sums_add_up(spark):
     assert monthly == total
 
 
-@pytest.mark.parametrize("k", [3, 1500])
+@pytest.mark.parametrize("k", [3, 80, 1500])
 def test_top_k_large_and_small(spark, k):
     df = spark.range(4000).select((F.col("id") % 2).alias("user_id"), "id")
     got = top_k(df, ["user_id"], [F.desc("id")], k)
@@ -167,3 +167,9 @@ def test_top_k_large_and_small(spark, k):
     for u in (0, 1):
         rows = got.where(F.col("user_id") == u).orderBy("rank").collect()
         assert [r.id for r in rows] == want[u]
+
+
+def test_top_k_of_copies(spark):
+    df = spark.range(300).select(F.lit(1).alias("user_id"), F.lit("same").alias("x"))
+    got = top_k(df, ["user_id"], [F.asc("x")], 120)
+    assert sorted(r["rank"] for r in got.collect()) == list(range(1, 121))
