@@ -136,9 +136,11 @@ def strict_record(line: Column, fields: str) -> Column:
 
     A closing field after the line makes text behind the object an error, which
     a plain ``from_json`` would pass over.  The one-element array holds the
-    parsed line, so that it is parsed once.
+    parsed line, so that it is parsed once.  Text that does not start like an
+    object never reaches the parser, where it would cost an exception.
     """
     wrapped = F.concat(F.lit('{"r":['), line, F.lit('],"_end":1}'))
-    parsed = F.from_json(wrapped, f"r array<{fields}>, _end int", {"allowSingleQuotes": "false"})
+    is_object = F.ltrim(line, F.lit(" \t\n\r")).startswith("{")
+    parsed = F.from_json(F.when(is_object, wrapped), f"r array<{fields}>, _end int", {"allowSingleQuotes": "false"})
     return F.transform(F.array(parsed), lambda p: F.when(
         (p["_end"] == 1) & (F.size(p["r"]) == 1), p["r"][0]))[0]

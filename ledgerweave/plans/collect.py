@@ -172,11 +172,8 @@ def _branches(tables: Tables, calls: Sequence[Call], cap: int) -> Iterator[DataF
     if statuses:
         status = budgeting.budget_status(tables.monthly, tables.budgets, tables.as_of, by=by)
         wanted = status.where(F.col("category").isin(*statuses))
-        any_text = next(iter(statuses.values()))
-        category = next(iter(statuses))
-        before, after = any_text.split(repr(category))
-        yield _branch(wanted, (), by, cap, F.concat(
-            F.lit(before + "'"), F.col("category"), F.lit("'" + after)))
+        texts = F.create_map(*[F.lit(x) for pair in statuses.items() for x in pair])
+        yield _branch(wanted, (), by, cap, texts[F.col("category")])
     for c in calls:
         if c.operator not in ("spend_total", "budget_status"):
             df, order = OPERATORS[c.operator](tables, dict(c.params))
