@@ -1,31 +1,41 @@
 """Intermediate tables in the folder all executors share.
 
 A table written here cuts the lineage: a lost executor costs a re-read, not a
-recomputation.  The folder is the cluster's ``spark.checkpoint.dir``; a session
-without one, as in tests, gets a folder of its own.
+recomputation.  The folder is the cluster's ``spark.checkpoint.dir``; where that is
+unset, it is a folder below the warehouse, which executors share as well.  The
+caller's session is left as it is.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new, unused path below the shared folder."""
+def shared_base(spark: SparkSession) -> str:
+    """The shared folder itself."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="ledgerweave-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/ledgerweave/{uuid.uuid4().hex}"
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new, unused path below the shared folder."""
+    return f"{shared_base(spark)}/ledgerweave/{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Deletes a path made by ``shared_dir``, on whatever file system it lies."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def write_through(df: DataFrame) -> DataFrame:
+def write_through(df: DataFrame, path: str | None = None) -> DataFrame:
     """The same rows read back from a table, for results used many times."""
-    path = shared_dir(df.sparkSession)
+    path = path or shared_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
