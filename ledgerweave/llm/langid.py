@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerweave.llm import words
+from ledgerweave.sources.shared import write_through
 
 UNDETERMINED = "und"
 SAMPLE_ROWS = 2000
@@ -148,11 +149,14 @@ class Model:
 def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """At most ``rows`` labelled texts, shared evenly among the languages, in hash order."""
     ids = docs.where("lang is not null and text is not null and doc_id is not null")
-    n = ids.select("lang").distinct().count()
+    counts = write_through(ids.groupBy("lang").count())
+    each = max(1, rows // max(1, counts.count()))
     order = Window.partitionBy("lang").orderBy("key", "doc_id")
+    some = F.pmod("key", F.greatest(F.lit(1), F.expr(f"count div {4 * each}"))) == 0
     chosen = (ids.select("lang", "doc_id", F.xxhash64("doc_id").alias("key"))
+              .join(counts, "lang").where(some)        # about 4 * each ids of a language
               .withColumn("rank", F.row_number().over(order))
-              .where(F.col("rank") <= max(1, rows // max(1, n))))
+              .where(F.col("rank") <= each))
     return ids.join(F.broadcast(chosen.select("lang", "doc_id").distinct()),
                     ["lang", "doc_id"], "left_semi")
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerweave.llm import langid
+from ledgerweave.llm import hyperminhash, langid
 
 QUERIES = {
+    "op3_hyperminhash": (hyperminhash.op3_hyperminhash, None),
     "op8_language_id": (langid.op8_language_id, None),
 }
