@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerweave.llm import cgk, hyperminhash, langid, poisson
+from ledgerweave.llm import cgk, hyperminhash, langid, poisson, wavelet
 
 QUERIES = {
     "op3_hyperminhash": (hyperminhash.op3_hyperminhash, None),
+    "op6_wavelet_tokens": (wavelet.op6_wavelet_tokens, None),
     "op8_language_id": (langid.op8_language_id, None),
     "op9_poisson_mix": (poisson.op9_poisson_mix, poisson.OP9_SQL),
     "op10_decontaminate": (cgk.op10_decontaminate, None),
