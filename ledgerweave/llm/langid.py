@@ -24,8 +24,9 @@ from ledgerweave.llm import words
 from ledgerweave.sources.shared import write_through
 
 UNDETERMINED = "und"
-SAMPLE_ROWS = 2000
-BUCKETS = 1 << 13
+SAMPLE_ROWS = 1600
+BITS = 12
+BUCKETS = 1 << BITS
 
 #: Languages by family; a language not listed is a family of its own.
 FAMILIES = {
@@ -55,7 +56,7 @@ def trigram_buckets(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     if len(data) < 3:
         return out
     key = fold[:-2] | (fold[1:-1] << np.uint32(8)) | (fold[2:] << np.uint32(16))
-    out[:-2] = (key * np.uint32(2654435761)) >> np.uint32(32 - 13)
+    out[:-2] = (key * np.uint32(2654435761)) >> np.uint32(32 - BITS)
     out[:-2][fold[1:-1] == 0x20] = BUCKETS
     full = at[1:][at[1:] > at[:-1]]
     out[full - 1] = BUCKETS
@@ -83,7 +84,7 @@ def _fit_svm(x: np.ndarray, positive: np.ndarray, rounds: int = 150, strength: f
     share = share.astype(np.float32)
     spread = x.std(axis=0) + 1e-4
     z = x / spread
-    step = 1.0 / (2.0 * float((share @ (z * z)).sum()) + 2.0 + strength)
+    step = 1.0 / (2.0 * float(np.einsum('i,ij,ij->', share, z, z)) + 2.0 + strength)
     w = v = np.zeros(x.shape[1], dtype=np.float32)
     b = c = 0.0
     for k in range(rounds):
@@ -167,8 +168,10 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     got = (training_sample(docs, rows).where(has_letter("text")).limit(2 * rows)
            .select("lang", vector("text").alias("x")).collect())
     labels = np.array([r["lang"] for r in got], dtype=object)
-    x = np.frombuffer(b"".join(bytes(r["x"]) for r in got), dtype=np.float32)
-    x = x.reshape(len(got), BUCKETS)
+    x = np.empty((len(got), BUCKETS), dtype=np.float32)
+    for i, r in enumerate(got):
+        x[i] = np.frombuffer(r["x"], dtype=np.float32)
+    del got
     names: dict[str, list[str]] = {}
     for code in sorted(set(labels)):
         names.setdefault(FAMILY_OF.get(code, code), []).append(code)
