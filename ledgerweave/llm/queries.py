@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from ledgerweave.llm import cgk, hyperminhash, langid, poisson, wavelet
+from ledgerweave.llm import (cgk, chunks, extendible, hyperminhash, langid, nndescent, poisson,
+                             urlfilter, wavelet)
 
 QUERIES = {
+    "op1_url_filter": (urlfilter.op1_url_filter, None),
+    "op2_nn_descent": (nndescent.op2_nn_descent, None),
     "op3_hyperminhash": (hyperminhash.op3_hyperminhash, None),
+    "op4_extendible_shards": (extendible.op4_extendible_shards, extendible.OP4_SQL),
+    "op5_gear_chunks": (chunks.op5_gear_chunks, None),
     "op6_wavelet_tokens": (wavelet.op6_wavelet_tokens, None),
     "op8_language_id": (langid.op8_language_id, None),
     "op9_poisson_mix": (poisson.op9_poisson_mix, poisson.OP9_SQL),
