@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgerweave.llm import (cgk, chunks, extendible, hyperminhash, langid, nndescent, poisson,
-                             urlfilter, wavelet)
+                             triescore, urlfilter, wavelet)
 
 QUERIES = {
     "op1_url_filter": (urlfilter.op1_url_filter, None),
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_extendible_shards": (extendible.op4_extendible_shards, extendible.OP4_SQL),
     "op5_gear_chunks": (chunks.op5_gear_chunks, None),
     "op6_wavelet_tokens": (wavelet.op6_wavelet_tokens, None),
+    "op7_elias_fano_trie": (triescore.op7_elias_fano_trie, None),
     "op8_language_id": (langid.op8_language_id, None),
     "op9_poisson_mix": (poisson.op9_poisson_mix, poisson.OP9_SQL),
     "op10_decontaminate": (cgk.op10_decontaminate, None),
