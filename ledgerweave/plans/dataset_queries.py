@@ -402,12 +402,12 @@ def annotate_run_summary(spark, d):
 
 
 def annotate_stream(spark, d):
-    """Annotation as a file stream, run twice; the second run finds nothing to do."""
+    """Annotation as a file stream; what failed in the first run is done in the second."""
     base = shared_dir(spark)
     raw, out, state = f"{base}/raw", f"{base}/out", f"{base}/state"
     sinks.append_raw_examples(_turn_examples(spark, d), raw)
-    for _ in range(2):
-        annotate_increments(spark, raw, out, state, DOMAIN, _stub, **NO_WAIT).awaitTermination()
+    for fn in (_stub, _echo, _echo):
+        annotate_increments(spark, raw, out, state, DOMAIN, fn, **NO_WAIT).awaitTermination()
     return jsonl.annotated_questions(spark.read.text(out))
 
 

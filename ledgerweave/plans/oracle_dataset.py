@@ -334,8 +334,7 @@ ANNOTATE_RECORDS = f"""SELECT question, '<|im_start|>system' || chr(10) ||
 ANNOTATE_SUMMARY = f"""SELECT CASE WHEN {_DONE} THEN 'skipped'
   WHEN length(annotation_prompt) % 5 = 0 THEN 'errors' ELSE 'annotated' END AS result,
   COUNT(*) AS n FROM ({_EXAMPLES}) GROUP BY 1"""
-ANNOTATE_STREAM = f"""SELECT question FROM ({_EXAMPLES})
-  WHERE length(annotation_prompt) % 5 <> 0"""
+ANNOTATE_STREAM = f"SELECT question FROM ({_EXAMPLES})"
 
 ADHOC = """SELECT account, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS total
   FROM transactions WHERE amount > 0 GROUP BY account ORDER BY total DESC;"""

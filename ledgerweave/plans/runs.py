@@ -30,9 +30,9 @@ def tenant_fields(by: Sequence[str], schema: T.StructType = TRANSACTIONS) -> lis
 
 
 def existing_lines(spark: SparkSession, path: str) -> DataFrame | None:
-    """The lines of an earlier run, or None before the first."""
+    """The lines of an earlier run, in whatever folders below, or None before the first."""
     try:
-        return spark.read.text(path)
+        return spark.read.option("recursiveFileLookup", True).text(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise

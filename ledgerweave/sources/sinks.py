@@ -29,15 +29,15 @@ def raw_example_line(schema: T.StructType) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
 
 
-def append_raw_examples(examples: DataFrame, path: str) -> None:
-    """Adds lines to the ledger; a failed job adds none."""
+def append_raw_examples(examples: DataFrame, path: str, mode: str = "append") -> None:
+    """Adds lines to the ledger, or replaces it; a failed job adds none."""
     line = raw_example_line(examples.schema)
-    examples.select(line.alias("value")).write.mode("append").text(path)
+    examples.select(line.alias("value")).write.mode(mode).text(path)
 
 
-def append_training_records(records: DataFrame, path: str) -> None:
+def append_training_records(records: DataFrame, path: str, mode: str = "append") -> None:
     line = record_line(records.schema["metadata"].dataType)
-    records.select(line.alias("value")).write.mode("append").text(path)
+    records.select(line.alias("value")).write.mode(mode).text(path)
 
 
 def write_splits(rows: DataFrame, folder: str) -> None:

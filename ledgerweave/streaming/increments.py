@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerweave.plans.annotate import annotate, training_records
@@ -12,27 +14,76 @@ from ledgerweave.plans.runs import existing_lines
 from ledgerweave.schemas import RAW_EXAMPLE
 from ledgerweave.sources.jsonl import annotated_questions, read_records
 from ledgerweave.sources.questions import Domain
-from ledgerweave.sources.sinks import append_training_records
+from ledgerweave.sources.shared import remove_dir, shared_dir, write_through
+from ledgerweave.sources.sinks import append_raw_examples, append_training_records
+
+
+def _stream_name(spark: SparkSession, work: str, keys: T.StructType) -> str:
+    """The name kept beside the checkpoint; the first run draws it and makes the folders."""
+    lines = existing_lines(spark, f"{work}/name")
+    row = None if lines is None else lines.first()
+    if row is not None:
+        return row[0]
+    spark.createDataFrame([], "value string").write.mode("overwrite").text(f"{work}/retry/batch=-1")
+    spark.createDataFrame([], keys).write.mode("overwrite").parquet(f"{work}/keys/batch=-1")
+    name = uuid.uuid4().hex
+    spark.createDataFrame([(name,)], "value string").write.mode("overwrite").text(f"{work}/name")
+    return name
 
 
 def annotate_increments(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
-                        domain: Domain, fn: Callable, tenant: Sequence[T.StructField] = (),
-                        **options):
+                        domain: Domain, fn: Callable, tenant: Sequence[T.StructField] = (), *,
+                        max_files: int = 100, **options):
     """Starts a query over the raw-example files that are new since the last run.
 
-    It ends when they are used up.  Each batch leaves out questions the output
-    already has, so a batch that is run again after a failure adds nothing twice.
+    It ends when they are used up, ``max_files`` files of either source at a time.  The
+    folder ``work`` in the checkpoint holds the examples whose call failed, which the next
+    run reads as its second source; the unusable lines; and the keys annotated
+    so far.  Every batch writes folders of its own number and overwrites them when it is
+    run again after a failure, so nothing is lost or added twice.  Output that came
+    from elsewhere is read once a run, for the questions it has already.
+
+    A checkpoint serves one ``out_dir``.
     """
-    names = [f.name for f in tenant]
+    key = [*[f.name for f in tenant], "question"]
     schema = T.StructType([*tenant, *RAW_EXAMPLE.fields])
+    work_dir = f"{checkpoint.rstrip('/')}/work"
+    name = _stream_name(spark, work_dir, T.StructType([schema[k] for k in key]))
+    mine = f"/stream={name}/"
+    lines = existing_lines(spark, out_dir)
+    others = None if lines is None else write_through(annotated_questions(
+        lines.where(~F.col("_metadata.file_path").contains(mine)), tenant))
 
-    def one(lines: DataFrame, _: int) -> None:
-        work, _rejects = read_records(lines, schema)
-        earlier = existing_lines(spark, out_dir)
-        done = None if earlier is None else annotated_questions(earlier, tenant)
-        annotated = annotate(work, domain, fn, done, [*names, "question"], **options)
-        append_training_records(training_records(annotated, domain, names), out_dir)
+    def one(lines: DataFrame, batch: int) -> None:
+        part = f"batch={batch}"
+        work, rejects = read_records(lines, schema)
+        rejects.write.mode("overwrite").parquet(f"{work_dir}/rejects/{part}")
+        done = spark.read.parquet(f"{work_dir}/keys").where(F.col("batch") != batch).select(*key)
+        if others is not None:
+            done = done.unionByName(others)
+        path = shared_dir(spark)
+        annotated = write_through(annotate(work, domain, fn, done, key, **options), path)
+        append_training_records(training_records(annotated, domain, key[:-1]),
+                                f"{out_dir.rstrip('/')}{mine}{part}", "overwrite")
+        annotated = annotated.withColumn("gold_answer", F.coalesce("gold_answer", F.lit("")))
+        append_raw_examples(annotated.where("status <> 'ok'").select(*schema.names),
+                            f"{work_dir}/retry/{part}", "overwrite")
+        (annotated.where("status = 'ok'").select(*key).distinct()
+         .write.mode("overwrite").parquet(f"{work_dir}/keys/{part}"))
+        remove_dir(spark, path)
 
-    return (spark.readStream.text(raw_dir).writeStream
+    files = spark.readStream.option("maxFilesPerTrigger", max_files)
+    new = files.text(raw_dir).select("value")
+    # A batch that runs again replaces its failures after the run's files were listed.
+    failed = (spark.readStream.option("maxFilesPerTrigger", max_files)
+              .option("recursiveFileLookup", True).option("ignoreMissingFiles", True)
+              .text(f"{work_dir}/retry"))
+    return (new.union(failed).writeStream
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).foreachBatch(one).start())
+
+
+def rejected_lines(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(value, reason) of the lines that the runs of a checkpoint could not use."""
+    return (spark.read.schema("value string, reason string, batch long")
+            .parquet(f"{checkpoint.rstrip('/')}/work/rejects").select("value", "reason"))

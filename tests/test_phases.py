@@ -7,7 +7,7 @@ from ledgerweave.plans import adhoc, annotate, answering, collect, completion, r
 from ledgerweave.sources import jsonl, sinks, tables
 from ledgerweave.sources.questions import QUESTIONS, Domain, Question, call, rename
 from ledgerweave.streaming import tokens
-from ledgerweave.streaming.increments import annotate_increments
+from ledgerweave.streaming.increments import annotate_increments, rejected_lines
 
 NO_WAIT = {"backoff": 0, "pause": 0}
 
@@ -144,6 +144,25 @@ def test_stream_adds_only_new_questions(spark, tmp_path):
     assert sorted(x["metadata"]["question"] for x in lines) == ["a", "b", "c"]
 
 
+def _down(prompts):
+    raise OSError("no model")
+
+
+def test_stream_retries_failures_and_keeps_rejects(spark, tmp_path):
+    paths = [str(tmp_path / p) for p in ("raw", "out", "state")]
+    sinks.append_raw_examples(raw(spark, ["a", "b"]), paths[0])
+    spark.createDataFrame([("broken",)], "value string").write.mode("append").text(paths[0])
+    earlier = raw(spark, ["b"]).withColumn("status", F.lit("ok"))
+    sinks.append_training_records(annotate.training_records(earlier, Domain()), paths[1])
+    for fn, expected in ((_down, ["b"]), (_down, ["b"]), (lambda ps: ["gold"] * len(ps), ["a", "b"]),
+                         (_down, ["a", "b"])):
+        annotate_increments(spark, *paths, Domain(), fn, max_files=1,
+                            **NO_WAIT).awaitTermination()
+        lines = spark.read.option("recursiveFileLookup", True).text(paths[1]).collect()
+        assert sorted(json.loads(r[0])["metadata"]["question"] for r in lines) == expected
+    assert [tuple(r) for r in rejected_lines(spark, paths[2]).collect()] == [("broken", "malformed")]
+
+
 EVENTS = [": comment", 'data: {"choices": [{"delta": {"role": "assistant"}}]}', "data: {broken",
           'data: {"choices": [{"delta": {"content": "Hel"}}]}', 'data: {"choices": []}',
           ' data: {"choices": [{"delta": {"content": "lo"}}]} \r', "data:",
