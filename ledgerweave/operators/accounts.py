@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.operators.measures import BY, double, is_fact, narrow, zero_if_null
+from ledgerweave.operators.measures import (
+    BY, double, is_fact, keep_tenants, narrow, zero_if_null,
+)
 from ledgerweave.operators.ranking import top_k
 
 
@@ -19,12 +21,13 @@ def account_balance(accounts: DataFrame, account: str | None = None, *,
 
 
 def account_transfers(tx: DataFrame, as_of, account: str, period, *,
-                      by: Sequence[str] = BY) -> DataFrame:
+                      by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
     """Money moved on an account in either direction."""
     moved = (zero_if_null(F.col("spent")) + zero_if_null(F.col("income")) if is_fact(tx)
              else F.abs(F.col("amount")))
-    return (narrow(tx, as_of, period, account=account).groupBy(*by)
-            .agg(double(F.sum(moved)).alias("transferred")))
+    total = (narrow(tx, as_of, period, account=account).groupBy(*by)
+             .agg(double(F.sum(moved)).alias("transferred")))
+    return keep_tenants(total, tenants, by)
 
 
 def account_activity(tx: DataFrame, as_of, account: str, period, *, cap: int | None = None,

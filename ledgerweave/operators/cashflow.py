@@ -20,7 +20,8 @@ def income_total(tx: DataFrame, as_of, period, *, by: Sequence[str] = BY,
                         tenants, by)
 
 
-def cash_flow(tx: DataFrame, as_of, period, *, by: Sequence[str] = BY) -> DataFrame:
+def cash_flow(tx: DataFrame, as_of, period, *, by: Sequence[str] = BY,
+              tenants: DataFrame | None = None) -> DataFrame:
     """Income, spending, what is left and its share of the income.
 
     The rate is null where there is no income.
@@ -28,6 +29,7 @@ def cash_flow(tx: DataFrame, as_of, period, *, by: Sequence[str] = BY) -> DataFr
     sums = narrow(tx, as_of, period).groupBy(*by).agg(
         zero_if_null(F.sum(income(tx))).alias("_in"),
         zero_if_null(F.sum(spent(tx))).alias("_out"))
+    sums = keep_tenants(sums, tenants, by, ["_in", "_out"])
     net = F.col("_in") - F.col("_out")
     return sums.select(*by, double(F.col("_in")).alias("income"),
                        double(F.col("_out")).alias("spent"), double(net).alias("net"),

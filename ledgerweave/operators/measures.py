@@ -8,6 +8,7 @@ here hide the difference, so the same operator text serves both.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,11 +88,18 @@ def zero_if_null(column: Column) -> Column:
     return F.coalesce(column, F.lit(0))
 
 
-def keep_tenants(result: DataFrame, tenants: DataFrame | None, by: Sequence[str]) -> DataFrame:
-    """Give tenants without matching rows a row of nulls.
+def keep_tenants(result: DataFrame, tenants: DataFrame | None, by: Sequence[str],
+                 zeros: Sequence[str] = ()) -> DataFrame:
+    """Give tenants without matching rows a row of nulls, or 0 in the columns of ``zeros``.
 
-    This is what an ungrouped aggregate over nothing returns for each of them.
+    This is what an ungrouped aggregate over nothing returns for each of them.  Tenants
+    that only ``result`` has stay, a null one too.
     """
     if tenants is None or not by:
         return result
-    return tenants.select(*by).distinct().join(result, list(by), "left")
+    rest = [c for c in result.columns if c not in by]
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
+    found = result.withColumnsRenamed({c: f"_of_{c}" for c in by})
+    whole = tenants.select(*by).distinct().join(found, same, "full_outer")
+    return whole.select(*[F.coalesce(c, f"_of_{c}").alias(c) for c in by],
+                        *[zero_if_null(F.col(c)).alias(c) if c in zeros else c for c in rest])

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.operators.measures import BY, double, narrow
+from ledgerweave.operators.measures import BY, double, keep_tenants, narrow
 
 
 def matches_any(column: str, patterns: Sequence[str]) -> Column:
@@ -17,11 +17,12 @@ def matches_any(column: str, patterns: Sequence[str]) -> Column:
 
 
 def merchant_total(tx: DataFrame, as_of, period, patterns: Sequence[str], *,
-                   by: Sequence[str] = BY) -> DataFrame:
+                   by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
     """Number of purchases at matching merchants and their sum."""
     rows = narrow(tx, as_of, period).where(F.col("amount") > 0)
-    return (rows.where(matches_any("description", patterns)).groupBy(*by)
-            .agg(F.count("*").alias("n"), double(F.sum("amount")).alias("spent")))
+    total = (rows.where(matches_any("description", patterns)).groupBy(*by)
+             .agg(F.count("*").alias("n"), double(F.sum("amount")).alias("spent")))
+    return keep_tenants(total, tenants, by, ["n"])
 
 
 def recurring_charges(tx: DataFrame, as_of=None, period="all", *, min_months: int = 2,

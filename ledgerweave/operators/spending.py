@@ -67,7 +67,7 @@ def top_categories(tx: DataFrame, as_of, period, k: int, *,
 
 def compare_periods(tx: DataFrame, as_of, a, b, *, measure: str = "spend",
                     category: str | None = None, account: str | None = None,
-                    by: Sequence[str] = BY) -> DataFrame:
+                    by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
     """Two periods side by side in one scan; a period without rows counts as 0."""
     pa, pb = resolve(a, as_of), resolve(b, as_of)
     rows = metric_rows(narrow(tx, as_of, hull(pa, pb), category, account), measure)
@@ -76,6 +76,7 @@ def compare_periods(tx: DataFrame, as_of, a, b, *, measure: str = "spend",
     sums = rows.groupBy(*by).agg(
         zero_if_null(F.sum(F.when(pa.contains("tx_date"), value))).alias("a"),
         zero_if_null(F.sum(F.when(pb.contains("tx_date"), value))).alias("b"))
+    sums = keep_tenants(sums, tenants, by, ["a", "b"])
     delta = F.col("a") - F.col("b")
     return sums.select(*by, double(F.col("a")).alias("a"), double(F.col("b")).alias("b"),
                        double(delta).alias("delta"),
@@ -97,40 +98,45 @@ def top_transactions(tx: DataFrame, as_of, period, k: int, *, by_abs: bool = Fal
 
 
 def avg_monthly(tx: DataFrame, as_of, n: int, *, measure: str = "spend",
-                by: Sequence[str] = BY) -> DataFrame:
+                by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
     """Mean over the last ``n`` complete months; an empty month counts as 0."""
     rows = metric_rows(narrow(tx, as_of, f"last_{n}_months"), measure)
     total = double(F.sum(metric(tx, measure)))
-    return rows.groupBy(*by).agg((total / F.lit(float(n))).alias("avg_amount"))
+    means = rows.groupBy(*by).agg((total / F.lit(float(n))).alias("avg_amount"))
+    return keep_tenants(means, tenants, by)
 
 
 def daily_average(tx: DataFrame, as_of, period="this_month", *,
-                  by: Sequence[str] = BY) -> DataFrame:
+                  by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
     """Spending per elapsed day, up to and including ``as_of``."""
     day_after = as_date(as_of) + dt.timedelta(days=1)
     whole = resolve(period, as_of)
     elapsed = Period(whole.start, min(whole.end or day_after, day_after))
     days = (elapsed.end - elapsed.start).days
     rows = narrow(tx, as_of, elapsed).where(is_expense(tx))
-    total = double(F.sum(spent(tx)))
-    return rows.groupBy(*by).agg(total.alias("spent"), F.lit(days).cast("long").alias("days"),
-                                 F.try_divide(total, F.lit(float(days))).alias("per_day"))
+    total = rows.groupBy(*by).agg(double(F.sum(spent(tx))).alias("spent"))
+    return keep_tenants(total, tenants, by).select(
+        *by, "spent", F.lit(days).cast("long").alias("days"),
+        F.try_divide("spent", F.lit(float(days))).alias("per_day"))
 
 
-def transaction_count(tx: DataFrame, as_of, period, *, by: Sequence[str] = BY) -> DataFrame:
-    """Number of transactions of either sign."""
+def transaction_count(tx: DataFrame, as_of, period, *, by: Sequence[str] = BY,
+                      tenants: DataFrame | None = None) -> DataFrame:
+    """Number of transactions of either sign; 0 over nothing."""
     rows = narrow(tx, as_of, period)
-    return rows.groupBy(*by).agg(F.sum(row_count(tx)).cast("long").alias("n"))
+    n = zero_if_null(F.sum(row_count(tx))).cast("long").alias("n")
+    return keep_tenants(rows.groupBy(*by).agg(n), tenants, by, ["n"])
 
 
 def half_split(tx: DataFrame, as_of, period="last_month", *,
-               by: Sequence[str] = BY) -> DataFrame:
+               by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
     """Spending up to the 15th of the month and after it."""
     rows = narrow(tx, as_of, period).where(is_expense(tx))
     early = F.dayofmonth("tx_date") <= 15
-    return rows.groupBy(*by).agg(
+    halves = rows.groupBy(*by).agg(
         double(zero_if_null(F.sum(F.when(early, spent(tx))))).alias("first_half"),
         double(zero_if_null(F.sum(F.when(~early, spent(tx))))).alias("second_half"))
+    return keep_tenants(halves, tenants, by, ["first_half", "second_half"])
 
 
 def period_totals(tx: DataFrame, as_of, periods: Sequence[str], *,

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerweave.operators.measures import (
-    BY, double, is_expense, metric, metric_rows, narrow, ratio, spent, zero_if_null,
+    BY, double, is_expense, keep_tenants, metric, metric_rows, narrow, ratio, spent, zero_if_null,
 )
 from ledgerweave.operators.ranking import top_k
 from ledgerweave.periods import Period, as_date, hull, month_start, months_before, resolve
@@ -27,11 +27,13 @@ def month_over_month(monthly: DataFrame, column: str, *, by: Sequence[str] = BY)
 
 
 def monthly_trend(tx: DataFrame, as_of, n: int, *, measure: str = "spend",
-                  category: str | None = None, by: Sequence[str] = BY) -> DataFrame:
+                  category: str | None = None, by: Sequence[str] = BY,
+                  tenants: DataFrame | None = None) -> DataFrame:
     """The last ``n`` complete months with the change from month to month.
 
     One aggregate sums all months; exploding them gives every tenant a full
-    spine without a join, and keeps the partitioning the window needs.
+    spine, and keeps the partitioning the window needs.  Tenants without any
+    matching row appear if ``tenants`` lists them.
     """
     months = months_before(as_date(as_of), n)
     value = metric(tx, measure)
@@ -39,6 +41,7 @@ def monthly_trend(tx: DataFrame, as_of, n: int, *, measure: str = "spend",
         narrow(tx, as_of, Period(months[0], month_start(months[-1], 1)), category), measure)
     sums = rows.groupBy(*by).agg(*[_month_sum(m, value).alias(f"_{i}")
                                    for i, m in enumerate(months)])
+    sums = keep_tenants(sums, tenants, by, [f"_{i}" for i in range(n)])
     spine = F.explode(F.array(*[
         F.struct(F.lit(f"{m:%Y-%m}").alias("month"), F.col(f"_{i}").alias("amount"))
         for i, m in enumerate(months)]))

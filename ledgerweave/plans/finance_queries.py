@@ -11,6 +11,7 @@ from ledgerweave.sources import star
 from ledgerweave.sources.star import AS_OF
 
 PERIODS = list(sql.PERIODS)
+TENANTS = "SELECT DISTINCT user_id FROM accounts"
 SLICES = {
     "last_month": {"period": "last_month"},
     "standard_last_month": {"period": "last_month", "category": "STANDARD"},
@@ -27,6 +28,12 @@ def _tx(op, *args, **kwargs):
     return lambda spark, d: op(star.transactions(spark, d), AS_OF, *args, **kwargs)
 
 
+def _every(op, *args, **kwargs):
+    """With a row for every tenant, as an aggregate over nothing has one too."""
+    return lambda spark, d: op(star.transactions(spark, d), AS_OF, *args,
+                               tenants=star.accounts(spark, d), **kwargs)
+
+
 def _budget(op, *args, **kwargs):
     return lambda spark, d: op(star.transactions(spark, d), star.budgets(spark, d), AS_OF,
                                *args, **kwargs)
@@ -60,25 +67,42 @@ QUERIES = {
         sql.spend_totals(SLICES)),
     "top_categories": (_tx(spending.top_categories, "last_month", 5),
                        sql.top_categories("last_month", 5)),
-    "compare_periods": (_tx(spending.compare_periods, "this_month", "last_month"),
-                        sql.compare_periods("this_month", "last_month")),
+    "compare_periods": (
+        _every(spending.compare_periods, "this_month", "last_month"),
+        sql.every_tenant(sql.compare_periods("this_month", "last_month"),
+                         a=0, b=0, delta=0, pct=None)),
     "compare_periods_income": (
-        _tx(spending.compare_periods, "this_month", "same_month_last_year", measure="income"),
-        sql.compare_periods("this_month", "same_month_last_year", "income")),
+        _every(spending.compare_periods, "this_month", "same_month_last_year", measure="income"),
+        sql.every_tenant(sql.compare_periods("this_month", "same_month_last_year", "income"),
+                         a=0, b=0, delta=0, pct=None)),
     "compare_weeks_account": (
-        _tx(spending.compare_periods, "this_week", "last_week", account="BUILDING"),
-        sql.compare_periods("this_week", "last_week", "spend", "BUILDING")),
+        _every(spending.compare_periods, "this_week", "last_week", account="BUILDING"),
+        sql.every_tenant(sql.compare_periods("this_week", "last_week", "spend", "BUILDING"),
+                         a=0, b=0, delta=0, pct=None)),
     "top_transactions": (_tx(spending.top_transactions, "last_month", 5),
                          sql.top_transactions("last_month", 5)),
     "top_movements": (_tx(spending.top_transactions, "last_month", 3, by_abs=True),
                       sql.top_transactions("last_month", 3, True)),
-    "avg_monthly": (_tx(spending.avg_monthly, 3), sql.avg_monthly(3)),
-    "avg_monthly_income": (_tx(spending.avg_monthly, 3, measure="income"),
-                           sql.avg_monthly(3, "income")),
-    "daily_average": (_tx(spending.daily_average), sql.DAILY_AVERAGE),
-    "transaction_count": (_tx(spending.transaction_count, "last_month"),
-                          sql.transaction_count("last_month")),
-    "half_split": (_tx(spending.half_split), sql.HALF_SPLIT),
+    "avg_monthly": (
+        _every(spending.avg_monthly, 3),
+        sql.every_tenant(sql.avg_monthly(3),
+                         avg_amount=None)),
+    "avg_monthly_income": (
+        _every(spending.avg_monthly, 3, measure="income"),
+        sql.every_tenant(sql.avg_monthly(3, "income"),
+                         avg_amount=None)),
+    "daily_average": (
+        _every(spending.daily_average),
+        sql.every_tenant(sql.DAILY_AVERAGE,
+                         spent=None, days=15, per_day=None)),
+    "transaction_count": (
+        _every(spending.transaction_count, "last_month"),
+        sql.every_tenant(sql.transaction_count("last_month"),
+                         n=0)),
+    "half_split": (
+        _every(spending.half_split),
+        sql.every_tenant(sql.HALF_SPLIT,
+                         first_half=0, second_half=0)),
     "period_totals": (_tx(spending.period_totals, PERIODS), sql.period_totals(PERIODS)),
     "category_stats": (_tx(spending.category_stats, "this_year"), sql.CATEGORY_STATS),
     "spend_vs_budget": (_budget(budgeting.spend_vs_budget), sql.SPEND_VS_BUDGET),
@@ -92,15 +116,21 @@ QUERIES = {
     "budget_ranking_on_facts": (_budget_on_facts, sql.budget_ranking("over")),
     "budget_pace": (_budget(budgeting.budget_pace), sql.BUDGET_PACE),
     "income_total": (_tx(cashflow.income_total, "last_month"), sql.income_total("last_month")),
-    "cash_flow": (_tx(cashflow.cash_flow, "last_3_months"), sql.cash_flow("last_3_months")),
-    "monthly_trend": (_tx(trends.monthly_trend, 3), sql.monthly_trend()),
-    "monthly_trend_category": (_tx(trends.monthly_trend, 3, category="LARGE"),
-                               sql.monthly_trend("spend", "LARGE")),
-    "monthly_trend_net": (_tx(trends.monthly_trend, 3, measure="net"), sql.monthly_trend("net")),
+    "cash_flow": (
+        _every(cashflow.cash_flow, "last_3_months"),
+        sql.every_tenant(sql.cash_flow("last_3_months"),
+                         income=0, spent=0, net=0, savings_rate=None)),
+    "monthly_trend": (_every(trends.monthly_trend, 3), sql.monthly_trend(tenants=TENANTS)),
+    "monthly_trend_category": (_every(trends.monthly_trend, 3, category="LARGE"),
+                               sql.monthly_trend("spend", "LARGE", TENANTS)),
+    "monthly_trend_net": (_every(trends.monthly_trend, 3, measure="net"),
+                          sql.monthly_trend("net", tenants=TENANTS)),
     "category_growth": (_tx(trends.category_growth, 3, 2), sql.category_growth(2)),
     "spend_vs_baseline": (_tx(trends.spend_vs_baseline, 3), sql.SPEND_VS_BASELINE),
-    "merchant_total": (_tx(merchants.merchant_total, "this_month", ["%Widget%", "red %"]),
-                       sql.merchant_total("this_month", ["%Widget%", "red %"])),
+    "merchant_total": (
+        _every(merchants.merchant_total, "this_month", ["%Widget%", "red %"]),
+        sql.every_tenant(sql.merchant_total("this_month", ["%Widget%", "red %"]),
+                         n=0, spent=None)),
     "recurring_charges": (_tx(merchants.recurring_charges, always=("ECONOMY",), min_months=40),
                           sql.recurring_charges(40, ("ECONOMY",))),
     "extreme_month": (_tx(cashflow.extreme_month), sql.extreme_month("spend", "max")),
@@ -110,8 +140,10 @@ QUERIES = {
                           sql.extreme_month("net", "max")),
     "account_balance": (lambda spark, d: acc.account_balance(star.accounts(spark, d), "BUILDING"),
                         sql.account_balance("BUILDING")),
-    "account_transfers": (_tx(acc.account_transfers, "HOUSEHOLD", "this_month"),
-                          sql.account_transfers("HOUSEHOLD", "this_month")),
+    "account_transfers": (
+        _every(acc.account_transfers, "HOUSEHOLD", "this_month"),
+        sql.every_tenant(sql.account_transfers("HOUSEHOLD", "this_month"),
+                         transferred=None)),
     "account_activity": (_tx(acc.account_activity, "MACHINERY", "this_week"),
                          sql.account_activity("MACHINERY", "this_week")),
     "finance_summary": (_budget(budgeting.finance_summary), sql.finance_summary("this_month")),

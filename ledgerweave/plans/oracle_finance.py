@@ -53,6 +53,14 @@ def where(period, category=None, account=None):
     return " AND ".join(parts)
 
 
+def every_tenant(statement, **columns):
+    """The statement's rows, and for each other tenant one with the given values."""
+    values = ", ".join(f'COALESCE(s."{c}", {v}) AS "{c}"' if v is not None else f's."{c}"'
+                       for c, v in columns.items())
+    return f"""SELECT u.user_id, {values} FROM (SELECT DISTINCT user_id FROM accounts) u
+      LEFT JOIN ({statement}) s ON s.user_id = u.user_id"""
+
+
 def spend_total(period, category=None, account=None):
     return f"""SELECT user_id, CAST(SUM(amount) AS DOUBLE) AS spent FROM transactions
       WHERE amount > 0 AND {where(period, category, account)} GROUP BY user_id"""
@@ -164,21 +172,22 @@ def cash_flow(period):
             FROM transactions WHERE {where(period)} GROUP BY user_id)"""
 
 
-def monthly_trend(measure="spend", category=None):
+def monthly_trend(measure="spend", category=None, tenants=None):
     cat = f" AND category = '{category}'" if category else ""
     flow = {"spend": "amount > 0", "income": "amount < 0", "net": "TRUE"}[measure]
     months = ["2001-03", "2001-04", "2001-05"]
-    return monthly_trend_over(months, METRICS[measure], f"{flow}{cat}")
+    return monthly_trend_over(months, METRICS[measure], f"{flow}{cat}", tenants)
 
 
-def monthly_trend_over(months, value, condition):
+def monthly_trend_over(months, value, condition, tenants=None):
     first, last = months[0], months[-1]
+    tenants = tenants or f"""SELECT DISTINCT user_id FROM transactions WHERE {condition}
+              AND strftime(tx_date, '%Y-%m') BETWEEN '{first}' AND '{last}'"""
     spine = ", ".join(f"('{m}')" for m in months)
     return f"""SELECT user_id, month, CAST(amount AS DOUBLE) AS amount,
       CAST(amount - lag(amount) OVER (PARTITION BY user_id ORDER BY month) AS DOUBLE) AS delta
       FROM (SELECT u.user_id, m.month, COALESCE(SUM(t.v), 0) AS amount
-        FROM (SELECT DISTINCT user_id FROM transactions WHERE {condition}
-              AND strftime(tx_date, '%Y-%m') BETWEEN '{first}' AND '{last}') u
+        FROM ({tenants}) u
         CROSS JOIN (SELECT * FROM (VALUES {spine}) AS v(month)) m
         LEFT JOIN (SELECT user_id, strftime(tx_date, '%Y-%m') AS month, {value} AS v
                    FROM transactions WHERE {condition}) t

@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+from ledgerweave.schemas import TRANSACTIONS
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,3 +174,26 @@ def test_top_k_of_copies(spark):
     df = spark.range(300).select(F.lit(1).alias("user_id"), F.lit("same").alias("x"))
     got = top_k(df, ["user_id"], [F.asc("x")], 120)
     assert sorted(r["rank"] for r in got.collect()) == list(range(1, 121))
+
+
+def test_tenants_without_rows(spark):
+    """Listed tenants get the row of an aggregate over nothing; no other tenant is lost."""
+    rows = [(u, i, dt.date(2001, 5, 3), "Shop", Decimal("5.00"), "A", "x")
+            for i, u in enumerate([1, None, 3])]
+    tx = spark.createDataFrame(rows, TRANSACTIONS)
+    tenants = spark.createDataFrame([(1,), (2,), (None,)], "user_id long")
+
+    def got(op, *args):
+        return {r[0]: tuple(r)[1:] for r in op(tx, "2001-06-15", *args, tenants=tenants).collect()}
+    assert got(spending.transaction_count, "last_month") == {1: (1,), 2: (0,), 3: (1,), None: (1,)}
+    assert got(spending.compare_periods, "last_month", "this_month")[2] == (0.0, 0.0, 0.0, None)
+    assert got(spending.avg_monthly, 3)[2] == (None,)
+    assert got(spending.daily_average)[2] == (None, 15, None)
+    assert got(spending.half_split)[2] == (0.0, 0.0)
+    assert got(cashflow.cash_flow, "last_month")[2] == (0.0, 0.0, 0.0, None)
+    assert got(merchants.merchant_total, "last_month", ["sh%"])[2] == (0, None)
+    assert got(accounts.account_transfers, "x", "last_month")[2] == (None,)
+    trend = trends.monthly_trend(tx, "2001-06-15", 2, tenants=tenants).where("user_id = 2")
+    assert [tuple(r)[1:] for r in trend.orderBy("month").collect()] == [
+        ("2001-04", 0.0, None), ("2001-05", 0.0, 0.0)]
+    assert spending.transaction_count(tx, "2001-06-15", "this_week", by=()).first().n == 0
