@@ -4,7 +4,8 @@ A rule is (allow or block, host/path).  It fits its host and all subdomains if t
 path starts with the rule's path; the longest that fits wins.  Other URLs get the
 verdict of boosted trees over length, depth, digit ratio, entropy, parameter counts and
 the allow rates of host suffixes and first folders among labelled URLs.  Trees
-are fitted on at most ``SAMPLE_ROWS`` labelled URLs in hash order.
+are fitted on about ``SAMPLE_ROWS`` distinct labelled URLs, chosen by a hash, so that
+no URL fills the sample however often it is repeated.
 
 A null URL or one without ``://`` has an empty host and path and fits no rule.  Repeated
 rows are judged alike.  With no labelled URL the verdict is ``allow``; with one kind of
@@ -30,7 +31,7 @@ PRIOR = 5.0
 RULES = [
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
-    ("allow", "example.org", "/en/1"),
+    ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 ]
@@ -115,13 +116,14 @@ def judge(urls: DataFrame, labelled: DataFrame, rules: list[tuple[str, str, str]
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
     known = (labelled.where("url is not null and label in ('allow', 'block')")
-             .select("url", (F.col("label") == "allow").cast("double").alias("_label")))
+             .select("url", (F.col("label") == "allow").cast("double").alias("_label"))
+             .distinct())
     total = known.count()
-    if total > sample_rows:       # about sample_rows rows, whatever their order
+    if total > sample_rows:       # distinct, so their hashes spread evenly
         known = known.where(F.pmod(F.xxhash64("url"), F.lit(1 << 30))
                             < int((1 << 30) * sample_rows / total))
     base = ruled(known, []).drop("rule", "verdict")
-    sample = write_through(_lexical(base.limit(2 * sample_rows), "url").coalesce(4))
+    sample = write_through(_lexical(base, "url").coalesce(4))
     share = sample.agg(F.avg("_label")).first()[0]
     keep = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
     out = ruled(urls.select(keep), rules, url)
