@@ -156,7 +156,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     classes = found.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
     member = write_through(sketch.select("doc_id", "n", "d1", "d2")
                            .join(classes, ["n", "d1", "d2"], "left")
-                           .select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")))
+                           .select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce(
+                               "rep", "doc_id")).alias("rep")))
     reps = write_through(found.withColumnRenamed("doc_id", "rep")
                          .join(classes, ["n", "d1", "d2", "rep"], "left_semi")
                          .select("rep", "n", "registers"))
