@@ -23,7 +23,6 @@ MEAN = 4.0
 TERMS = 40
 SEED = 17
 TEMPERATURE = 0.5
-SMALL = 100_000
 SALTS = 64
 _DIGITS = 13
 
@@ -41,7 +40,10 @@ def _digest(*parts: Column | str | int) -> Column:
 
 def rates(docs: DataFrame, weights: dict[str | None, float] | None = None,
           temperature: float = TEMPERATURE) -> DataFrame:
-    """(source, rate): how often a document of the source is wanted on average."""
+    """(source, rate): how often a document of the source is wanted on average.
+
+    The rate is null where the source has no character: its documents stay as they are.
+    """
     sizes = docs.groupBy("source").agg(F.sum(F.length("text")).cast("double").alias("chars"))
     sizes = sizes.withColumn("chars", F.coalesce("chars", F.lit(0.0)))
     if weights is None:
@@ -54,8 +56,7 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None,
     totals = sizes.agg(F.sum("chars").alias("c"), F.sum("wanted").alias("w")).first()
     share = F.col("wanted") / F.lit(totals["w"] or 1.0)
     return sizes.select("source", F.when(
-        F.col("chars") > 0, F.lit(totals["c"] or 0.0) * share / F.col("chars"))
-        .otherwise(1.0).alias("rate"))
+        F.col("chars") > 0, F.lit(totals["c"] or 0.0) * share / F.col("chars")).alias("rate"))
 
 
 def _tables(rates: DataFrame) -> DataFrame:
@@ -76,18 +77,17 @@ def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None,
     """Every document as often as drawn, with ``copy`` (from 1) and ``order_key``, shuffled."""
     columns = [c for c in docs.columns if c not in ("copy", "order_key")]
     tables = write_through(_tables(rates(docs, weights, temperature)))
-    tables = tables.select(F.struct("source").alias("_of"), "draws", "below")
+    tables = tables.select(F.struct("source").alias("_of"), "rate", "draws", "below")
     keyed = docs.select(*columns, F.struct("source").alias("_of"))
-    if tables.count() <= SMALL:
-        drawn = keyed.join(F.broadcast(tables), "_of")
-    else:  # sources by the million: a hot one is spread over salts
-        salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
-        salted = tables.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                                 F.lit(SALTS - 1).cast("long"))))
-        drawn = keyed.withColumn("_salt", salt).join(salted, ["_of", "_salt"])
+    # Spark broadcasts a short table by its size; beyond that, salts spread a hot source.
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    salted = tables.withColumn("_salt", F.explode(salts))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in docs.columns if c in ("doc_id", "text")]), F.lit(SALTS))
+    drawn = keyed.withColumn("_salt", salt).join(salted, ["_of", "_salt"])
     of = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     one = lambda j: F.size(F.filter("below", lambda c: c <= uniform(seed, of, j.cast("string"))))
-    times = F.aggregate(F.sequence(F.lit(1), F.col("draws")), F.lit(0), lambda n, j: n + one(j))
+    times = F.when(F.col("rate").isNull(), 1).otherwise(F.aggregate(
+        F.sequence(F.lit(1), F.col("draws")), F.lit(0), lambda n, j: n + one(j)))
     copies = (drawn.withColumn("_times", times).where("_times > 0")
               .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
               .withColumn("order_key", _digest(seed, of, F.col("copy").cast("string"), "order")))
@@ -109,7 +109,7 @@ wanted AS (
 rates AS (
   SELECT source, CASE WHEN chars > 0
     THEN (SELECT sum(chars) FROM wanted) * (w / (SELECT sum(w) FROM wanted)) / chars
-    ELSE 1.0 END AS rate FROM wanted),
+    END AS rate FROM wanted),
 draws AS (
   SELECT source, rate, CAST(greatest(1, ceil(rate / {MEAN})) AS INTEGER) AS draws FROM rates),
 steps AS (
@@ -123,12 +123,14 @@ below AS (
 lists AS (
   SELECT source, draws, list(upto ORDER BY k) AS below FROM below GROUP BY source, draws),
 numbers AS (
-  SELECT d.*, coalesce(CAST(doc_id AS VARCHAR), 'null') AS of, draws, below
-  FROM documents d JOIN lists l ON d.source IS NOT DISTINCT FROM l.source),
+  SELECT d.*, coalesce(CAST(doc_id AS VARCHAR), 'null') AS of, draws, below,
+    rate IS NULL AS once
+  FROM documents d JOIN lists l ON d.source IS NOT DISTINCT FROM l.source
+  JOIN rates r ON d.source IS NOT DISTINCT FROM r.source),
 times AS (
-  SELECT * EXCLUDE (draws, below), list_sum(list_transform(range(1, draws + 1), lambda j:
+  SELECT * EXCLUDE (draws, below, once), CASE WHEN once THEN 1 ELSE list_sum(list_transform(range(1, draws + 1), lambda j:
     len(list_filter(below, lambda c: c <= CAST(('0x' || substr(md5('{SEED}:' || of || ':'
-      || CAST(j AS VARCHAR)), 1, {_DIGITS})) AS UBIGINT) / {float(16 ** _DIGITS)!r})))) AS n
+      || CAST(j AS VARCHAR)), 1, {_DIGITS})) AS UBIGINT) / {float(16 ** _DIGITS)!r})))) END AS n
   FROM numbers),
 copies AS (SELECT *, unnest(range(1, CAST(n AS BIGINT) + 1)) AS c FROM times WHERE n > 0)
 SELECT doc_id, text, lang, source, n_chars, CAST(c AS INTEGER) AS copy,
