@@ -10,19 +10,21 @@ when ``order`` is False.  A null or empty text is one end id; a null id is kept
 sorts first; repeated rows are written once each.  A text of any length is one
 document of one record.  Other columns are not read.
 
-Texts are split for speed at blanks that have no white space beside them; the
-vocabulary's own rule splits there as well, so the ids are those of the whole text.
+Texts are cut for speed at places where the vocabulary's own rule splits as well, so the
+ids are those of the whole text.  A string of an added token becomes that token.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - used as pa.compute
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -33,7 +35,21 @@ VOCABULARY = "byte_bpe_50k.json"
 END = 2
 SHARD_TOKENS = 2 << 20
 PARTITION_BYTES = 24 << 20
-CACHED = 400_000
+BLOCK_BYTES = 4 << 20
+GROUP = 2000
+SPAN = 4096
+
+# Bytes that may be white space to the vocabulary's rule; white space beyond ASCII; and the
+# letters and stops between which it splits.
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[*range(9, 14), *range(28, 33)]] = True
+_WIDE_LEADS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
+_WIDE_BLANK = re.compile(b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]"
+                         b"|\xe2\x81\x9f|\xe3\x80\x80")
+_ASCII_LETTER = np.zeros(256, dtype=bool)
+_ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_STOP = np.zeros(256, dtype=bool)
+_STOP[list(b".,;:!?")] = True
 
 _MAGIC = b"LWWM1\0\0\0"
 
@@ -175,70 +191,152 @@ class Shard:
 
 
 class Encoder:
-    """Ids of whole texts, remembering the ids of up to CACHED stretches between blanks.
-
-    New stretches go to the tokenizer many at a time, joined by blanks; the bytes that each
-    id stands for tell where one ends.  A stretch that is empty or has white space at an
-    end is no unit of the vocabulary's rule; a text with one is encoded as a whole.
+    """Ids of whole texts; what repeats within a block of text is tokenized once.
+
+    The vocabulary's rule always splits before a blank that stands between two characters
+    other than white space, around such a line feed, and between an ASCII letter and a
+    following stop.  A block is cut at these places, its distinct pieces go to the tokenizer
+    many at a time, and the bytes that each id stands for tell where a piece ends.  Pieces
+    that occur again are known to the next block, so memory is bounded by a block.  A text
+    that holds an added token or white space beyond ASCII is encoded as a whole.
     """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.encode() for t in added]
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype(np.uint16 if size <= 1 << 16 else np.uint32)
         self.n_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
-        self.cache: dict[str, bytes | None] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
-                        self.kind).tobytes()
+        self.known = (pa.array([], pa.binary()), np.zeros(0, np.int64), np.zeros(0, self.kind))
 
     def encode(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with the end id, and their numbers."""
-        split = [t.split(" ") if t else [] for t in texts]
-        if len(self.cache) > CACHED:
-            self.cache = {}
-        self._learn({p for s in split for p in s[1:]})
-        last, get, out = np.array([end], self.kind).tobytes(), self.cache.__getitem__, []
-        for text, s in zip(texts, split):
-            if not s:
-                out.append(last)
-                continue
-            rest = list(map(get, s[1:]))
-            if None in rest or not _unit(s[0]):
-                out.append(self._whole(text) + last)
+        given = [text.encode() if text else b"" for text in texts]
+        whole = {i: np.array(self._whole([texts[i]])[0], self.kind)
+                 for i, text in enumerate(given) if self._odd(text)}
+        plain = [b"" if i in whole else text for i, text in enumerate(given)]
+        edges = np.concatenate(([0], np.cumsum([len(p) for p in plain], dtype=np.int64)))
+        ids, lengths = np.zeros(0, self.kind), np.zeros(len(texts), np.int64)
+        if edges[-1]:
+            ids, lengths = self._block(np.frombuffer(b"".join(plain), np.uint8), edges)
+        upto, last, made = np.cumsum(lengths), np.array([end], self.kind), []
+        for i, b in enumerate(upto):
+            made += [whole.get(i, ids[b - lengths[i]:b]), last]
+            if i in whole:
+                lengths[i] = len(whole[i])
+        return np.concatenate(made or [last[:0]]), lengths + 1
+
+    def _odd(self, text: bytes) -> bool:
+        return (any(t in text for t in self.added)
+                or any(t in text for t in _WIDE_LEADS) and _WIDE_BLANK.search(text) is not None)
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _block(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts between the edges and how many each has, piece by piece."""
+        cuts = _cuts(data, edges)
+        parts, a = [], 0
+        while a < len(cuts) - 1:         # at most BLOCK_BYTES at a time, within a text as well
+            b = max(a + 1, int(np.searchsorted(cuts, cuts[a] + BLOCK_BYTES, "right")) - 1)
+            parts.append(self._pieces(data[cuts[a]:cuts[b]], cuts[a:b + 1] - cuts[a]))
+            a = b
+        counts = np.concatenate([c for _, c in parts])
+        before = np.concatenate(([0], np.cumsum(counts)))[np.searchsorted(cuts, edges)]
+        return np.concatenate([i for i, _ in parts]), np.diff(before)
+
+    def _pieces(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pieces = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [
+            None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+        which = pieces.indices.to_numpy()
+        ids, counts, known = self._ids(pieces.dictionary)
+        start = np.cumsum(counts) - counts
+        again = np.flatnonzero(known | (np.bincount(which) > 1))
+        self.known = (pieces.dictionary.take(pa.array(again)), counts[again],
+                      ids[_runs(start[again], counts[again])])
+        return ids[_runs(start[which], counts[which])], counts[which]
+
+    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces in a row, how many each has, and which were known before."""
+        old, old_counts, old_ids = self.known
+        place = pa.compute.index_in(pieces, value_set=old).fill_null(-1).to_numpy()
+        known, counts = place >= 0, np.zeros(len(pieces), np.int64)
+        counts[known] = old_counts[place[known]]
+        new = np.flatnonzero(~known)
+        new_ids, counts[new] = self._learn(pieces.take(pa.array(new)))
+        out, start = np.empty(int(counts.sum()), self.kind), np.cumsum(counts) - counts
+        out[_runs(start[new], counts[new])] = new_ids
+        first = np.cumsum(old_counts) - old_counts
+        out[_runs(start[known], counts[known])] = old_ids[_runs(first[place[known]], counts[known])]
+        return out, counts, known
+
+    def _learn(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces, one after the other, and how many each has."""
+        if not len(pieces):
+            return np.zeros(0, self.kind), np.zeros(0, np.int64)
+        width = pa.compute.binary_length(pieces).to_numpy().astype(np.int64)
+        data, ends = np.frombuffer(pieces.buffers()[2], np.uint8)[:width.sum()], np.cumsum(width)
+        blank = _SPACE[data]
+        open_, shut = ~blank[ends - width], ~blank[ends - 1]
+        second = ~blank[np.minimum(ends - width + 1, len(data) - 1)] & (width > 1)
+        spaced = (data[ends - width] == 0x20) & second & shut    # cut by its own blank
+        lone = np.flatnonzero(~(spaced | (open_ & shut)))
+        groups, texts = [[x] for x in lone], pieces.take(pa.array(lone)).to_pylist()
+        for which, glue in ((spaced, b""), (open_ & shut, b"\n")):
+            which = np.flatnonzero(which)
+            groups += [which[i:i + GROUP] for i in range(0, len(which), GROUP)]
+            texts += [_joined(pieces.take(pa.array(which[i:i + GROUP])), glue)
+                      for i in range(0, len(which), GROUP)]
+        counts, found = np.zeros(len(pieces), np.int64), []
+        for which, text, got in zip(groups, texts, self._whole([t.decode() for t in texts])):
+            ids = np.array(got, self.kind)
+            if len(which) == 1:
+                counts[which] = len(ids)
             else:
-                out.append(b"".join([self._whole(s[0]), *rest, last]))
-        return (np.frombuffer(b"".join(out), self.kind),
-                np.array([len(x) // self.kind.itemsize for x in out], dtype=np.int64))
-
-    def _learn(self, stretches: set[str]) -> None:
-        new = []
-        for p in stretches:
-            if p not in self.cache:
-                if _unit(p):
-                    new.append(p)
-                else:
-                    self.cache[p] = None
-        groups = [new[i:i + 2000] for i in range(0, len(new), 2000)]
-        got = self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups],
-                                               add_special_tokens=False)
-        width = self.kind.itemsize
-        for group, e in zip(groups, got):
-            ids = np.array(e.ids, self.kind)
-            ends = np.cumsum([len(p.encode()) + 1 for p in group])
-            at = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
-            data, a = ids.tobytes(), 0
-            for p, b in zip(group, (at * width).tolist()):
-                self.cache[p] = data[a:b]
-                a = b
-
-
-def _unit(stretch: str) -> bool:
-    return bool(stretch) and not stretch[0].isspace() and not stretch[-1].isspace()
+                glued = len(text) > width[which].sum()     # a line feed between two: an id of its own
+                last = np.cumsum(width[which] + glued) - glued
+                upto = np.searchsorted(np.cumsum(self.n_bytes[ids]), last) + 1
+                n = np.diff(upto, prepend=0)
+                if glued:
+                    n[1:] -= 1
+                    ids = np.delete(ids, upto[:-1])
+                counts[which] = n
+            found.append(ids)
+        out, start = np.empty(int(counts.sum()), self.kind), np.cumsum(counts) - counts
+        order = np.concatenate([np.asarray(g, np.int64) for g in groups])
+        out[_runs(start[order], counts[order])] = np.concatenate(found)
+        return out, counts
+
+
+def _runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each run, one run after the other."""
+    return (np.repeat(start - (np.cumsum(count) - count), count)
+            + np.arange(int(count.sum()), dtype=np.int64))
+
+
+def _joined(pieces: pa.Array, glue: bytes) -> bytes:
+    width = pa.compute.binary_length(pieces).to_numpy().astype(np.int64)
+    data = bytes(pieces.buffers()[2])[:int(width.sum())]
+    if not glue:
+        return data
+    return np.insert(np.frombuffer(data, np.uint8), np.cumsum(width)[:-1], glue[0]).tobytes()
+
+
+def _cuts(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Ends of texts and the places within texts where the vocabulary's rule splits for sure."""
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    blank = _SPACE[data]
+    lone = blank[1:-1] & ~blank[:-2] & ~blank[2:]
+    at = np.flatnonzero(lone) + 1
+    at = at[~np.isin(at, edges) & ~np.isin(at + 1, edges)]     # neighbours of other texts
+    cut[at[(data[at] == 0x20) | (data[at] == 0x0A)]] = True
+    cut[at[data[at] == 0x0A] + 1] = True
+    cut[1:-1] |= _STOP[data[1:]] & _ASCII_LETTER[data[:-1]]
+    cut[edges] = True
+    return np.flatnonzero(cut)
 
 
 def default_vocabulary() -> str:
@@ -273,8 +371,12 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end:
                  pa.array([len(whole)], pa.int64()), pa.array([made], pa.binary())],
                 ["part", "seq", "n_tokens", "record"])
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                some = batch.slice(a, 256)
+            width = np.cumsum(pa.compute.binary_length(batch.column("text")).fill_null(0).to_numpy())
+            a = 0
+            while a < batch.num_rows:        # texts of at most BLOCK_BYTES, or one
+                before = int(width[a - 1]) if a else 0
+                b = max(a + 1, int(np.searchsorted(width, before + BLOCK_BYTES, "right")))
+                some, a = batch.slice(a, b - a), b
                 got, each = encoder.encode(some.column("text").to_pylist(), end)
                 ids.append(got)
                 lengths.append(each)
@@ -295,9 +397,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     little-endian unsigned 32-bit integers, and (part, seq) of the record.
     """
     records = spark.read.schema(RECORD).parquet(path)
-    order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    base = records.select("part", "seq", F.coalesce(F.sum("n_tokens").over(order), F.lit(0))
-                          .alias("base"))     # one row per record, not per document
+    base = _starts(records.select("part", "seq", "n_tokens"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,6 +420,23 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                     "ids_crc32", "part", "seq"))
 
 
+def _starts(sizes: DataFrame) -> DataFrame:
+    """(part, seq, base): tokens before each record, from one row per record.
+
+    Sums run within a part, over the parts of a span and over the spans, so no task sorts
+    all records.
+    """
+    def before(rows: DataFrame, order: str, *by: str) -> DataFrame:
+        window = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(f"of_{order}", F.coalesce(F.sum("n_tokens").over(window), F.lit(0)))
+    parts = (sizes.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"))
+             .withColumn("span", F.expr(f"part div {SPAN}")))
+    spans = before(parts.groupBy("span").agg(F.sum("n_tokens").alias("n_tokens")), "span")
+    parts = before(parts, "part", "span").join(spans.select("span", "of_span"), "span")
+    return (before(sizes, "seq", "part").join(parts.select("part", "of_part", "of_span"), "part")
+            .select("part", "seq", F.expr("of_span + of_part + of_seq").alias("base")))
+
+
 def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark)
     write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
