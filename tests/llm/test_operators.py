@@ -264,6 +264,19 @@ def test_poisson_edges(spark):
     assert 22_000 < many < 27_000     # one document of one character against 49,000
 
 
+def test_poisson_join_without_broadcast(spark):
+    """The salted join draws the same copies whether Spark broadcasts the tables or not."""
+    docs = spark.range(500).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.expr(
+        "int(id % 9)")).alias("text"), F.when(F.col("id") % 3 > 0, "hot").alias("source"))
+    want = rows(poisson.replicate(docs), "doc_id", "copy", "order_key")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(poisson.replicate(docs), "doc_id", "copy", "order_key") == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 # op6
 
 def test_wavelet_matrix():
@@ -281,7 +294,6 @@ def test_wavelet_matrix():
 def whole_ids(texts):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(wavelet.default_vocabulary())
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids + [2] for x in texts]
 
 
@@ -381,14 +393,17 @@ def test_shards_fit_and_follow_the_directory(spark):
 
 def verdict_by_hand(url):
     if url is None or "://" not in url:
-        return "", "", None
+        return "", "", None, None
     rest = url.split("://", 1)[1]
     host = re.match(r"[^/?#]*", rest)[0]
     path = re.match(r"[^?#]*", rest[len(host):])[0]
     host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
-    fits = [h + p for _, h, p in urlfilter.RULES
+    rules = [("allow", "org", "/"), ("block", "example.org", "/es/"),
+             ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+    fits = [(len(h + p), h + p, kind) for kind, h, p in rules
             if (host == h or host.endswith("." + h)) and path.startswith(p)]
-    return host, path, max(fits, key=len, default=None)
+    _, rule, verdict = max(fits, default=(0, None, None))
+    return host, path, rule, verdict
 
 
 def test_rules_equal_hand(spark):
@@ -399,7 +414,7 @@ def test_rules_equal_hand(spark):
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     df = df.withColumn("host", F.lit(5))
     for r in urlfilter.ruled(df, urlfilter.RULES).collect():
-        assert (r["host"], r["path"], r["rule"]) == verdict_by_hand(r["url"])
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == verdict_by_hand(r["url"])
     labels = spark.createDataFrame([("http://a.com/x", "allow")], "url string, label string")
     for given, want in ((labels, "allow"), (labels.limit(0), "allow"),
                         (labels.withColumn("label", F.lit("block")), "block")):
@@ -407,6 +422,30 @@ def test_rules_equal_hand(spark):
         assert {r["verdict"] for r in got.collect()} == {want}
 
 
+def test_url_query_keeps_the_rules(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    urls = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet")
+            .select("page_id", "url").collect()}
+    got = urlfilter.op1_url_filter(spark, sf_dir).collect()
+    assert sorted(r["page_id"] for r in got) == sorted(urls)
+    kinds = set()
+    for r in got:
+        host, path, rule, verdict = verdict_by_hand(urls[r["page_id"]])
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
+        assert r["verdict"] in ("allow", "block") and r["verdict"] == (verdict or r["verdict"])
+        kinds.add((rule, r["verdict"]))
+    assert ("example.org/en/1", "block") in kinds
+
+
+def test_a_frequent_url_does_not_fill_the_sample(spark):
+    labels = spark.createDataFrame([("http://a.com/x", "allow")] * 300 + [
+        (f"http://b.net/{i}?q=1", "block") for i in range(300)], "url string, label string")
+    asked = spark.createDataFrame([("http://b.net/7000?q=1",), ("http://a.com/x",)], "url string")
+    got = {r["url"]: r["verdict"]
+           for r in urlfilter.judge(asked, labels, [], sample_rows=100).collect()}
+    assert got["http://b.net/7000?q=1"] == "block"
+
+
 def test_trees_learn_the_labels(spark):
     bad = [f"http://h{i % 7}.net/{'x-' * (i % 9)}?a={i}&b=1" for i in range(400)]
     good = [f"https://h{i % 7}.net/page/{i}" for i in range(400)]
