@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerweave.llm import (cgk, chunks, extendible, hyperminhash, langid, nndescent, poisson,
-                             triescore, urlfilter, wavelet)
+from ledgerweave.llm import (cgk, chunks, extendible, hyperminhash, langid, licenses, nndescent,
+                             poisson, spelling, triescore, urlfilter, wavelet, whitening)
 
 QUERIES = {
     "op1_url_filter": (urlfilter.op1_url_filter, None),
@@ -16,4 +16,7 @@ QUERIES = {
     "op8_language_id": (langid.op8_language_id, None),
     "op9_poisson_mix": (poisson.op9_poisson_mix, poisson.OP9_SQL),
     "op10_decontaminate": (cgk.op10_decontaminate, None),
+    "op11_whitening": (whitening.op11_whitening, None),
+    "op12_license_scan": (licenses.op12_license_scan, licenses.OP12_SQL),
+    "op13_spelling_variants": (spelling.op13_spelling_variants, None),
 }
