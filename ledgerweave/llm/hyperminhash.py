@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerweave.llm import words
 from ledgerweave.llm.components import components
+from ledgerweave.llm.memory import handing_back
 from ledgerweave.sources.shared import write_through
 
 BUCKET_BITS = 7
@@ -38,6 +39,8 @@ MANTISSA = 10
 MISSED = 1e-6
 DEVIATIONS = 4.5
 BLOCK = 256
+TILE_BYTES = 4 << 20
+SALTS = 16
 
 _U = np.uint64
 SKETCH = "doc_id long, n long, d1 long, d2 long, registers binary"
@@ -109,7 +112,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                  pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy()),
                  pa.array([r.tobytes() for r in regs], pa.binary())],
                 ["doc_id", "n", "d1", "d2", "registers"])
-    return docs.mapInArrow(run, SKETCH)
+    return docs.mapInArrow(lambda b: handing_back(run(b)), SKETCH)
 
 
 def band_keys(reps: DataFrame, rows: int) -> DataFrame:
@@ -128,7 +131,7 @@ def band_keys(reps: DataFrame, rows: int) -> DataFrame:
                  batch.column("rep").take(pa.array(np.repeat(np.arange(len(regs)), bands))),
                  batch.column("n").take(pa.array(np.repeat(np.arange(len(regs)), bands)))],
                 ["key", "rep", "n"])
-    return reps.mapInArrow(run, "key long, rep long, n long")
+    return reps.mapInArrow(lambda b: handing_back(run(b)), "key long, rep long, n long")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -153,14 +156,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch = write_through(sketches(docs, size))
     found = sketch.where("n > 0 and doc_id is not null")
-    classes = found.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
-    member = write_through(sketch.select("doc_id", "n", "d1", "d2")
-                           .join(classes, ["n", "d1", "d2"], "left")
-                           .select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce(
-                               "rep", "doc_id")).alias("rep")))
-    reps = write_through(found.withColumnRenamed("doc_id", "rep")
-                         .join(classes, ["n", "d1", "d2", "rep"], "left_semi")
-                         .select("rep", "n", "registers"))
+    # a set of one document is its own class; a set of very many is spread over salts
+    classes = (found.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"),
+                                                  F.max("doc_id").alias("last"))
+               .where("rep < last").drop("last"))
+    classed = (_salted(sketch, "doc_id").join(_all_salts(classes), ["n", "d1", "d2", "salt"], "left")
+               .withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))))
+    member = write_through(classed.select("doc_id", "n", "rep"))
+    reps = write_through(classed.where("n > 0 and rep = doc_id").select("rep", "n", "registers"))
     keys = write_through(band_keys(reps, band_rows(percent / 100)))
     shared = keys.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last"))
     buckets = write_through(keys.join(shared.where("first < last"), "key")
@@ -179,6 +182,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def _salted(rows: DataFrame, by: str) -> DataFrame:
+    return rows.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)))
+
+
+def _all_salts(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                        F.lit(SALTS - 1).cast("long"))))
+
+
 def tested_groups(buckets: DataFrame) -> DataFrame:
     """(first, rep): who was compared with which smallest member of a bucket."""
     return buckets.where("rep != first").select("first", "rep").distinct()
@@ -188,17 +200,23 @@ def _within_groups(groups: DataFrame, parts: DataFrame, texts: DataFrame, size:
                    percent: int) -> DataFrame:
     """Links among those compared with the same first one but not yet in one component.
 
-    A group is cut into blocks of about BLOCK members, and each pair of blocks is a tile
-    of its own, so a task holds two blocks at most.  A tile counts all intersections in a
+    A group is cut into blocks of about BLOCK members or TILE_BYTES of text, whichever is
+    less, and each pair of blocks is a tile of its own, so a task holds two blocks at most.  A tile counts all intersections in a
     matrix product and returns a star for each of its components, not its pairs.
     """
-    state = (groups.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("first", "rep", F.coalesce("component", "rep").alias("part")))
+    state = write_through(groups.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+                          .select("first", "rep", F.coalesce("component", "rep").alias("part")))
     open_ = (state.groupBy("first").agg(F.count("*").alias("members"), F.min("part").alias("x"),
-                                        F.max("part").alias("y")).where("x < y")
-             .select("first", F.ceil(F.col("members") / BLOCK).alias("blocks")))
+                                        F.max("part").alias("y")).where("x < y"))
+    state = write_through(_salted(state, "rep").join(_all_salts(open_.select("first", "members")),
+                                                     ["first", "salt"]).drop("salt"))
+    width = (state.select("first", "rep", "members").join(
+        texts.select(F.col("doc_id").alias("rep"), F.octet_length("text").alias("bytes")), "rep")
+        .groupBy("first").agg(F.max("members").alias("members"), F.sum("bytes").alias("bytes")))
+    cut = width.select("first", F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(
+        F.col("bytes") / TILE_BYTES)).alias("blocks"))
     mine = F.pmod(F.xxhash64("rep"), "blocks")
-    tiles = (state.join(open_, "first").withColumn("mine", mine)
+    tiles = (_salted(state, "rep").join(_all_salts(cut), ["first", "salt"]).withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("blocks - 1"))))
              .select("first", F.least("mine", "other").alias("i"),
                      F.greatest("mine", "other").alias("j"), "rep"))
