@@ -29,13 +29,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ledgerweave.llm.memory import handing_back
 from ledgerweave.sources.shared import shared_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 2
 SHARD_TOKENS = 2 << 20
 PARTITION_BYTES = 24 << 20
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 GROUP = 2000
 SPAN = 4096
 
@@ -387,7 +388,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end:
                     seq, ids, doc_ids, lengths, n = seq + 1, [], [], [], 0
         if n:
             yield record()
-    rows.mapInArrow(run, RECORD).write.parquet(path)
+    rows.mapInArrow(lambda b: handing_back(run(b)), RECORD).write.parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -414,7 +415,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                      pa.array(shard.lengths.astype(np.int64)), pa.array(crc, pa.int64())],
                     ["part", "seq", "doc_id", "at", "n_tokens", "ids_crc32"])
     found = records.select("part", "seq", "record").mapInArrow(
-        run, "part long, seq long, doc_id long, at long, n_tokens long, ids_crc32 long")
+        lambda b: handing_back(run(b)), "part long, seq long, doc_id long, at long, n_tokens long, ids_crc32 long")
     return (found.join(base, ["part", "seq"])
             .select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens",
                     "ids_crc32", "part", "seq"))
