@@ -205,3 +205,40 @@ def test_variants_of_nothing(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "once only words")], "doc_id long, text string")
     assert spelling.spelling_variants(df).count() == 0
     assert spelling.spelling_variants(df.limit(0)).count() == 0
+
+
+# pipeline
+
+def test_near_duplicate_stage(spark):
+    import corpus_pipeline
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, "a b c d e f", "en", "s", 1), (2, "A b c d e f", "en", "t", 1), (3, "b c d e f g", "en", "s", 1),
+            (3, "x y z", "en", "s", 1), (3, "x y z", "en", "s", 1), (4, "x y z", None, "s", 1),
+            (None, "a b c d e f", "en", "s", 1), (None, "a b c d e f", "en", "s", 1), (5, None, "en", "s", None),
+            (6, "", "en", "s", 0)]
+    df = spark.createDataFrame(rows, schema)
+    got = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    kept = sorted((r["doc_id"] for r in got.collect() if r["doc_id"] is not None))
+    assert kept == [1, 3, 5, 6] and got.where("doc_id is null").count() == 2
+    again = corpus_pipeline.drop_near_duplicates(spark, df.orderBy(F.desc("text")), "")
+    assert ({tuple(r) for r in got.collect()} == {tuple(r) for r in again.collect()})
+    assert corpus_pipeline.drop_near_duplicates(spark, df.limit(0), "").count() == 0
+
+
+def test_pipeline_stages_keep_clean_documents(spark):
+    import corpus_pipeline
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, sizes = docs.columns, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.write_through(stage(spark, docs, sf_dir))
+        assert docs.columns == columns
+        sizes.append(docs.count())
+    assert sizes[0] >= sizes[1] >= sizes[2] > 0.5 * sizes[0]
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).orderBy("start").collect()
+    assert len(out) == sizes[-1]
+    at = 0
+    for r in out:
+        assert r["start"] == at and r["n_tokens"] >= 1
+        at += r["n_tokens"]
