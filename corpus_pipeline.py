@@ -25,12 +25,18 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, similarity 0.8) stays.
 
-    Of repeated rows with one id, one stays as well.
+    Of rows with one id, the one whose text has the smallest digest stays.
     """
     gone = hyperminhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
     left = docs.join(write_through(gone), "doc_id", "left_anti").select(docs.columns)
-    lone = left.where("doc_id is null")
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(lone)
+    repeated = write_through(docs.where("doc_id is not null").groupBy("doc_id").count()
+                             .where("count > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return left
+    one = (left.join(repeated, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"))
+           .groupBy("row.doc_id").agg(F.min_by("row", F.struct(
+               F.md5("row.text"), F.xxhash64("row"))).alias("row")).select("row.*"))
+    return left.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(one)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
