@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.operators.measures import (
-    BY, double, is_fact, keep_tenants, narrow, zero_if_null,
+    BY, double, is_fact, matching, narrow, zero_if_null,
 )
 from ledgerweave.operators.ranking import top_k
+from ledgerweave.operators.tally import Tally, tally
+from ledgerweave.periods import resolve
 
 
 def account_balance(accounts: DataFrame, account: str | None = None, *,
@@ -20,14 +22,18 @@ def account_balance(accounts: DataFrame, account: str | None = None, *,
     return rows.select(*by, "name", double(F.col("balance")).alias("balance"))
 
 
+def account_transfers_tally(tx: DataFrame, as_of, account: str, period) -> Tally:
+    moved = (zero_if_null(F.col("spent")) + zero_if_null(F.col("income")) if is_fact(tx)
+             else F.abs(F.col("amount")))
+    return Tally(resolve(period, as_of), {"moved": moved},
+                 lambda s: [{"transferred": double(s("moved"))}],
+                 matching(F.lit(True), account=account))
+
+
 def account_transfers(tx: DataFrame, as_of, account: str, period, *,
                       by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
     """Money moved on an account in either direction."""
-    moved = (zero_if_null(F.col("spent")) + zero_if_null(F.col("income")) if is_fact(tx)
-             else F.abs(F.col("amount")))
-    total = (narrow(tx, as_of, period, account=account).groupBy(*by)
-             .agg(double(F.sum(moved)).alias("transferred")))
-    return keep_tenants(total, tenants, by)
+    return tally(tx, account_transfers_tally(tx, as_of, account, period), by, tenants)
 
 
 def account_activity(tx: DataFrame, as_of, account: str, period, *, cap: int | None = None,

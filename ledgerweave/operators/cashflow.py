@@ -8,16 +8,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.operators.measures import (
-    BY, double, income, is_income, keep_tenants, metric, metric_rows, narrow, ratio, spent,
-    zero_if_null,
+    BY, double, income, is_income, metric, metric_rows, narrow, ratio, spent,
 )
+from ledgerweave.operators.tally import Tally, tally
+from ledgerweave.periods import resolve
+
+
+def income_total_tally(tx: DataFrame, as_of, period) -> Tally:
+    return Tally(resolve(period, as_of), {"income": income(tx)},
+                 lambda s: [{"income": double(s("income"))}], is_income(tx))
 
 
 def income_total(tx: DataFrame, as_of, period, *, by: Sequence[str] = BY,
                  tenants: DataFrame | None = None) -> DataFrame:
-    rows = narrow(tx, as_of, period).where(is_income(tx))
-    return keep_tenants(rows.groupBy(*by).agg(double(F.sum(income(tx))).alias("income")),
-                        tenants, by)
+    return tally(tx, income_total_tally(tx, as_of, period), by, tenants)
+
+
+def cash_flow_tally(tx: DataFrame, as_of, period) -> Tally:
+    def rows(s):
+        net = s("in") - s("out")
+        return [{"income": double(s("in")), "spent": double(s("out")), "net": double(net),
+                 "savings_rate": ratio(net, s("in"))}]
+    return Tally(resolve(period, as_of), {"in": income(tx), "out": spent(tx)}, rows,
+                 zeros=frozenset(["in", "out"]))
 
 
 def cash_flow(tx: DataFrame, as_of, period, *, by: Sequence[str] = BY,
@@ -26,14 +39,7 @@ def cash_flow(tx: DataFrame, as_of, period, *, by: Sequence[str] = BY,
 
     The rate is null where there is no income.
     """
-    sums = narrow(tx, as_of, period).groupBy(*by).agg(
-        zero_if_null(F.sum(income(tx))).alias("_in"),
-        zero_if_null(F.sum(spent(tx))).alias("_out"))
-    sums = keep_tenants(sums, tenants, by, ["_in", "_out"])
-    net = F.col("_in") - F.col("_out")
-    return sums.select(*by, double(F.col("_in")).alias("income"),
-                       double(F.col("_out")).alias("spent"), double(net).alias("net"),
-                       ratio(net, F.col("_in")).alias("savings_rate"))
+    return tally(tx, cash_flow_tally(tx, as_of, period), by, tenants)
 
 
 def extreme_month(tx: DataFrame, as_of, *, measure: str = "spend", which: str = "max",

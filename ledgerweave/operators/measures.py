@@ -8,7 +8,6 @@ here hide the difference, so the same operator text serves both.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,13 +53,22 @@ def metric(df: DataFrame, name: str) -> Column:
     raise ValueError(f"unknown metric: {name!r}")
 
 
+def has_metric(df: DataFrame, name: str) -> Column:
+    """Whether a row can contribute to the metric."""
+    return {"spend": is_expense, "income": is_income}.get(name, lambda _: F.lit(True))(df)
+
+
 def metric_rows(df: DataFrame, name: str) -> DataFrame:
     """Keep only the rows that can contribute to the metric."""
-    if name == "spend":
-        return df.where(is_expense(df))
-    if name == "income":
-        return df.where(is_income(df))
-    return df
+    return df if name == "net" else df.where(has_metric(df, name))
+
+
+def matching(condition: Column, **columns: str | None) -> Column:
+    """The condition and equality with each given value; equality is case-sensitive."""
+    for name, value in columns.items():
+        if value is not None:
+            condition = condition & (F.col(name) == value)
+    return condition
 
 
 def narrow(df: DataFrame, as_of, period=None, category: str | None = None,
@@ -88,18 +96,13 @@ def zero_if_null(column: Column) -> Column:
     return F.coalesce(column, F.lit(0))
 
 
-def keep_tenants(result: DataFrame, tenants: DataFrame | None, by: Sequence[str],
-                 zeros: Sequence[str] = ()) -> DataFrame:
-    """Give tenants without matching rows a row of nulls, or 0 in the columns of ``zeros``.
+def with_tenants(rows: DataFrame, tenants: DataFrame | None, by: Sequence[str]) -> DataFrame:
+    """The rows and one of nulls per listed tenant, as input of a grouped aggregate.
 
-    This is what an ungrouped aggregate over nothing returns for each of them.  Tenants
-    that only ``result`` has stay, a null one too.
+    A tenant without matching rows then gets what an ungrouped aggregate over nothing returns:
+    null for a sum, 0 for a count of values.  No join is needed, and a null tenant
+    counts as one.
     """
     if tenants is None or not by:
-        return result
-    rest = [c for c in result.columns if c not in by]
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
-    found = result.withColumnsRenamed({c: f"_of_{c}" for c in by})
-    whole = tenants.select(*by).distinct().join(found, same, "full_outer")
-    return whole.select(*[F.coalesce(c, f"_of_{c}").alias(c) for c in by],
-                        *[zero_if_null(F.col(c)).alias(c) if c in zeros else c for c in rest])
+        return rows
+    return rows.unionByName(tenants.select(*by), allowMissingColumns=True)

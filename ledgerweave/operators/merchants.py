@@ -1,4 +1,4 @@
-"""Merchant lookups and recurring charges, on raw transactions."""
+"""Merchant lookups and recurring charges, on raw transactions or facts by merchant and month."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.operators.measures import BY, double, keep_tenants, narrow
+from ledgerweave.operators.measures import BY, double, is_expense, narrow, row_count, spent
+from ledgerweave.operators.tally import Tally, tally
+from ledgerweave.periods import resolve
 
 
 def matches_any(column: str, patterns: Sequence[str]) -> Column:
@@ -16,13 +18,16 @@ def matches_any(column: str, patterns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(column).ilike(p) for p in patterns])
 
 
+def merchant_total_tally(tx: DataFrame, as_of, period, patterns: Sequence[str]) -> Tally:
+    return Tally(resolve(period, as_of), {"n": row_count(tx), "spent": spent(tx)},
+                 lambda s: [{"n": s("n").cast("long"), "spent": double(s("spent"))}],
+                 is_expense(tx) & matches_any("description", patterns), frozenset("n"))
+
+
 def merchant_total(tx: DataFrame, as_of, period, patterns: Sequence[str], *,
                    by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
     """Number of purchases at matching merchants and their sum."""
-    rows = narrow(tx, as_of, period).where(F.col("amount") > 0)
-    total = (rows.where(matches_any("description", patterns)).groupBy(*by)
-             .agg(F.count("*").alias("n"), double(F.sum("amount")).alias("spent")))
-    return keep_tenants(total, tenants, by, ["n"])
+    return tally(tx, merchant_total_tally(tx, as_of, period, patterns), by, tenants)
 
 
 def recurring_charges(tx: DataFrame, as_of=None, period="all", *, min_months: int = 2,
@@ -33,9 +38,9 @@ def recurring_charges(tx: DataFrame, as_of=None, period="all", *, min_months: in
     Months are counted by grouping twice: the first round combines on the map
     side, so a merchant with very many rows never meets in one task.
     """
-    rows = narrow(tx, as_of, None if period == "all" else period).where(F.col("amount") > 0)
+    rows = narrow(tx, as_of, None if period == "all" else period).where(is_expense(tx))
     monthly = (rows.groupBy(*by, "description", F.trunc("tx_date", "MM").alias("month"))
-               .agg(F.count("*").alias("n"), F.sum("amount").alias("total"),
+               .agg(F.sum(row_count(tx)).alias("n"), F.sum(spent(tx)).alias("total"),
                     F.max(F.col("category").isin(*always)).alias("fixed")))
     merchants = monthly.groupBy(*by, "description").agg(
         F.count("*").alias("months"),

@@ -9,13 +9,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.operators.measures import (
-    BY, double, is_expense, keep_tenants, metric, metric_rows, narrow, ratio, row_count, spent,
-    zero_if_null,
+    BY, double, has_metric, is_expense, matching, metric, narrow, ratio, row_count, spent,
+    with_tenants,
 )
 from ledgerweave.operators.ranking import top_k
+from ledgerweave.operators.tally import Tally, tally
 from ledgerweave.periods import Period, as_date, hull, resolve
 
 
+def spend_total_tally(tx: DataFrame, as_of, period, *, category: str | None = None,
+                      account: str | None = None) -> Tally:
+    return Tally(resolve(period, as_of), {"spent": spent(tx)},
+                 lambda s: [{"spent": double(s("spent"))}],
+                 matching(is_expense(tx), category=category, account=account))
+
+
 def spend_total(tx: DataFrame, as_of, period, *, category: str | None = None,
                 account: str | None = None, by: Sequence[str] = BY,
                 tenants: DataFrame | None = None) -> DataFrame:
@@ -24,9 +32,8 @@ def spend_total(tx: DataFrame, as_of, period, *, category: str | None = None,
     Only tenants with a matching row appear, unless ``tenants`` lists them all;
     with ``by=()`` there is always one row, holding null over nothing.
     """
-    rows = narrow(tx, as_of, period, category, account).where(is_expense(tx))
-    total = rows.groupBy(*by).agg(double(F.sum(spent(tx))).alias("spent"))
-    return keep_tenants(total, tenants, by)
+    return tally(tx, spend_total_tally(tx, as_of, period, category=category, account=account),
+                 by, tenants)
 
 
 def spend_totals(tx: DataFrame, as_of, slices: Mapping[str, Mapping[str, str]], *,
@@ -47,14 +54,12 @@ def spend_totals(tx: DataFrame, as_of, slices: Mapping[str, Mapping[str, str]],
         return hit
 
     rows = tx.where(hull(*spans.values()).contains("tx_date")).where(is_expense(tx))
-    sums = rows.groupBy(*by).agg(
+    sums = with_tenants(rows, tenants, by).groupBy(*by).agg(
         *[double(F.sum(F.when(matches(n), spent(tx)))).alias(f"_{i}")
           for i, n in enumerate(slices)])
     pairs = F.array(*[F.struct(F.lit(n).alias("slice"), F.col(f"_{i}").alias("spent"))
                       for i, n in enumerate(slices)])
-    return (keep_tenants(sums, tenants, by)
-            .select(*by, F.explode(pairs).alias("p"))
-            .select(*by, "p.slice", "p.spent"))
+    return sums.select(*by, F.explode(pairs).alias("p")).select(*by, "p.slice", "p.spent")
 
 
 def top_categories(tx: DataFrame, as_of, period, k: int, *,
@@ -65,22 +70,28 @@ def top_categories(tx: DataFrame, as_of, period, k: int, *,
     return ranked.select(*by, "rank", "category", double(F.col("total")).alias("total"))
 
 
+def compare_periods_tally(tx: DataFrame, as_of, a, b, *, measure: str = "spend",
+                          category: str | None = None, account: str | None = None) -> Tally:
+    pa, pb = resolve(a, as_of), resolve(b, as_of)
+    value = metric(tx, measure)
+
+    def rows(s):
+        delta = s("a") - s("b")
+        return [{"a": double(s("a")), "b": double(s("b")), "delta": double(delta),
+                 "pct": ratio(delta, s("b")) * 100.0}]
+    inside = pa.contains("tx_date") | pb.contains("tx_date")
+    return Tally(hull(pa, pb), {"a": F.when(pa.contains("tx_date"), value),
+                                "b": F.when(pb.contains("tx_date"), value)}, rows,
+                 matching(inside & has_metric(tx, measure), category=category, account=account),
+                 frozenset("ab"))
+
+
 def compare_periods(tx: DataFrame, as_of, a, b, *, measure: str = "spend",
                     category: str | None = None, account: str | None = None,
                     by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
     """Two periods side by side in one scan; a period without rows counts as 0."""
-    pa, pb = resolve(a, as_of), resolve(b, as_of)
-    rows = metric_rows(narrow(tx, as_of, hull(pa, pb), category, account), measure)
-    rows = rows.where(pa.contains("tx_date") | pb.contains("tx_date"))
-    value = metric(tx, measure)
-    sums = rows.groupBy(*by).agg(
-        zero_if_null(F.sum(F.when(pa.contains("tx_date"), value))).alias("a"),
-        zero_if_null(F.sum(F.when(pb.contains("tx_date"), value))).alias("b"))
-    sums = keep_tenants(sums, tenants, by, ["a", "b"])
-    delta = F.col("a") - F.col("b")
-    return sums.select(*by, double(F.col("a")).alias("a"), double(F.col("b")).alias("b"),
-                       double(delta).alias("delta"),
-                       (ratio(delta, F.col("b")) * 100.0).alias("pct"))
+    return tally(tx, compare_periods_tally(tx, as_of, a, b, measure=measure, category=category,
+                                           account=account), by, tenants)
 
 
 def top_transactions(tx: DataFrame, as_of, period, k: int, *, by_abs: bool = False,
@@ -97,46 +108,57 @@ def top_transactions(tx: DataFrame, as_of, period, k: int, *, by_abs: bool = Fal
         "category", "account")
 
 
+def avg_monthly_tally(tx: DataFrame, as_of, n: int, *, measure: str = "spend") -> Tally:
+    return Tally(resolve(f"last_{n}_months", as_of), {"sum": metric(tx, measure)},
+                 lambda s: [{"avg_amount": double(s("sum")) / F.lit(float(n))}],
+                 has_metric(tx, measure))
+
+
 def avg_monthly(tx: DataFrame, as_of, n: int, *, measure: str = "spend",
                 by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
     """Mean over the last ``n`` complete months; an empty month counts as 0."""
-    rows = metric_rows(narrow(tx, as_of, f"last_{n}_months"), measure)
-    total = double(F.sum(metric(tx, measure)))
-    means = rows.groupBy(*by).agg((total / F.lit(float(n))).alias("avg_amount"))
-    return keep_tenants(means, tenants, by)
+    return tally(tx, avg_monthly_tally(tx, as_of, n, measure=measure), by, tenants)
 
 
-def daily_average(tx: DataFrame, as_of, period="this_month", *,
-                  by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
-    """Spending per elapsed day, up to and including ``as_of``."""
+def daily_average_tally(tx: DataFrame, as_of, period="this_month") -> Tally:
     day_after = as_date(as_of) + dt.timedelta(days=1)
     whole = resolve(period, as_of)
     elapsed = Period(whole.start, min(whole.end or day_after, day_after))
     days = (elapsed.end - elapsed.start).days
-    rows = narrow(tx, as_of, elapsed).where(is_expense(tx))
-    total = rows.groupBy(*by).agg(double(F.sum(spent(tx))).alias("spent"))
-    return keep_tenants(total, tenants, by).select(
-        *by, "spent", F.lit(days).cast("long").alias("days"),
-        F.try_divide("spent", F.lit(float(days))).alias("per_day"))
+    return Tally(elapsed, {"spent": spent(tx)}, lambda s: [{
+        "spent": double(s("spent")), "days": F.lit(days).cast("long"),
+        "per_day": F.try_divide(double(s("spent")), F.lit(float(days)))}], is_expense(tx))
+
+
+def daily_average(tx: DataFrame, as_of, period="this_month", *,
+                  by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
+    """Spending per elapsed day, up to and including ``as_of``."""
+    return tally(tx, daily_average_tally(tx, as_of, period), by, tenants)
+
+
+def transaction_count_tally(tx: DataFrame, as_of, period) -> Tally:
+    return Tally(resolve(period, as_of), {"n": row_count(tx)},
+                 lambda s: [{"n": s("n").cast("long")}], zeros=frozenset("n"))
 
 
 def transaction_count(tx: DataFrame, as_of, period, *, by: Sequence[str] = BY,
                       tenants: DataFrame | None = None) -> DataFrame:
     """Number of transactions of either sign; 0 over nothing."""
-    rows = narrow(tx, as_of, period)
-    n = zero_if_null(F.sum(row_count(tx))).cast("long").alias("n")
-    return keep_tenants(rows.groupBy(*by).agg(n), tenants, by, ["n"])
+    return tally(tx, transaction_count_tally(tx, as_of, period), by, tenants)
+
+
+def half_split_tally(tx: DataFrame, as_of, period="last_month") -> Tally:
+    early = F.dayofmonth("tx_date") <= 15
+    return Tally(resolve(period, as_of), {"first": F.when(early, spent(tx)),
+                                          "second": F.when(~early, spent(tx))},
+                 lambda s: [{"first_half": double(s("first")), "second_half": double(s("second"))}],
+                 is_expense(tx), frozenset(["first", "second"]))
 
 
 def half_split(tx: DataFrame, as_of, period="last_month", *,
                by: Sequence[str] = BY, tenants: DataFrame | None = None) -> DataFrame:
     """Spending up to the 15th of the month and after it."""
-    rows = narrow(tx, as_of, period).where(is_expense(tx))
-    early = F.dayofmonth("tx_date") <= 15
-    halves = rows.groupBy(*by).agg(
-        double(zero_if_null(F.sum(F.when(early, spent(tx))))).alias("first_half"),
-        double(zero_if_null(F.sum(F.when(~early, spent(tx))))).alias("second_half"))
-    return keep_tenants(halves, tenants, by, ["first_half", "second_half"])
+    return tally(tx, half_split_tally(tx, as_of, period), by, tenants)
 
 
 def period_totals(tx: DataFrame, as_of, periods: Sequence[str], *,

@@ -9,9 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerweave.operators.measures import (
-    BY, double, is_expense, keep_tenants, metric, metric_rows, narrow, ratio, spent, zero_if_null,
+    BY, double, has_metric, is_expense, matching, metric, metric_rows, narrow, ratio, spent,
+    with_tenants, zero_if_null,
 )
 from ledgerweave.operators.ranking import top_k
+from ledgerweave.operators.tally import Tally
 from ledgerweave.periods import Period, as_date, hull, month_start, months_before, resolve
 
 
@@ -39,9 +41,8 @@ def monthly_trend(tx: DataFrame, as_of, n: int, *, measure: str = "spend",
     value = metric(tx, measure)
     rows = metric_rows(
         narrow(tx, as_of, Period(months[0], month_start(months[-1], 1)), category), measure)
-    sums = rows.groupBy(*by).agg(*[_month_sum(m, value).alias(f"_{i}")
-                                   for i, m in enumerate(months)])
-    sums = keep_tenants(sums, tenants, by, [f"_{i}" for i in range(n)])
+    sums = with_tenants(rows, tenants, by).groupBy(*by).agg(*[
+        _month_sum(m, value).alias(f"_{i}") for i, m in enumerate(months)])
     spine = F.explode(F.array(*[
         F.struct(F.lit(f"{m:%Y-%m}").alias("month"), F.col(f"_{i}").alias("amount"))
         for i, m in enumerate(months)]))
@@ -51,6 +52,22 @@ def monthly_trend(tx: DataFrame, as_of, n: int, *, measure: str = "spend",
             .withColumn("delta", double(F.col("delta"))))
 
 
+def monthly_trend_tally(tx: DataFrame, as_of, n: int, *, measure: str = "spend",
+                        category: str | None = None) -> Tally:
+    """The trend as sums of one shared aggregate; neighbours give the changes."""
+    months = months_before(as_date(as_of), n)
+    value = metric(tx, measure)
+    sums = {f"m{i}": F.when(Period(m, month_start(m, 1)).contains("tx_date"), value)
+            for i, m in enumerate(months)}
+
+    def rows(s):
+        return [{"month": F.lit(f"{m:%Y-%m}"), "amount": double(s(f"m{i}")),
+                 "delta": double(s(f"m{i}") - s(f"m{i - 1}")) if i else F.lit(None).cast("double")}
+                for i, m in enumerate(months)]
+    return Tally(Period(months[0], month_start(months[-1], 1)), sums, rows,
+                 matching(has_metric(tx, measure), category=category), frozenset(sums))
+
+
 def category_growth(tx: DataFrame, as_of, n: int, k: int, *,
                     by: Sequence[str] = BY) -> DataFrame:
     """Categories by growth from the first to the last of ``n`` complete months."""

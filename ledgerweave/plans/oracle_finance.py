@@ -57,7 +57,8 @@ def every_tenant(statement, **columns):
     """The statement's rows, and for each other tenant one with the given values."""
     values = ", ".join(f'COALESCE(s."{c}", {v}) AS "{c}"' if v is not None else f's."{c}"'
                        for c, v in columns.items())
-    return f"""SELECT u.user_id, {values} FROM (SELECT DISTINCT user_id FROM accounts) u
+    return f"""SELECT u.user_id, {values} FROM (
+      SELECT user_id FROM accounts UNION SELECT user_id FROM transactions) u
       LEFT JOIN ({statement}) s ON s.user_id = u.user_id"""
 
 

@@ -192,7 +192,7 @@ def test_tenants_without_rows(spark):
     assert got(spending.half_split)[2] == (0.0, 0.0)
     assert got(cashflow.cash_flow, "last_month")[2] == (0.0, 0.0, 0.0, None)
     assert got(merchants.merchant_total, "last_month", ["sh%"])[2] == (0, None)
-    assert got(accounts.account_transfers, "x", "last_month")[2] == (None,)
+    assert got(acc.account_transfers, "x", "last_month")[2] == (None,)
     trend = trends.monthly_trend(tx, "2001-06-15", 2, tenants=tenants).where("user_id = 2")
     assert [tuple(r)[1:] for r in trend.orderBy("month").collect()] == [
         ("2001-04", 0.0, None), ("2001-05", 0.0, 0.0)]
