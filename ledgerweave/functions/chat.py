@@ -62,7 +62,9 @@ def prepend_system(messages: Column, system: Column) -> Column:
 def chat_text(messages: Column, begin: str = "<|im_start|>", split: str = "\n",
               end: str = "<|im_end|>\n") -> Column:
     """Messages as one training text.  The role markers belong to the tokenizer."""
-    turn = lambda m: F.concat(F.lit(begin), m["role"], F.lit(split), m["content"], F.lit(end))
+    def turn(m: Column) -> Column:
+        return F.concat(F.lit(begin), m["role"].cast("string"), F.lit(split),
+                        m["content"].cast("string"), F.lit(end))
     return F.array_join(F.transform(messages, turn), "")
 
 

@@ -16,9 +16,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The tokens of a flat object; the pieces of an encoded string, with
+# The tokens of JSON text; the pieces of an encoded string, with
 # escape sequences kept whole; and the characters that need no escaping at all.
-_TOKEN = r'"(?:[^"\\]|\\.)*+"|[^\s",:{}\[\]]+'
+_TOKEN = r'"(?:[^"\\]|\\.)*+"|[^\s",:{}\[\]]+|[{}\[\],:]'
 _PIECE = r"\\u[0-9A-Fa-f]{4}|\\.|[\x00-\x5B\x5D-\x7E]+|[^\x00-\x7E]+"
 _PLAIN = r"\A[ !#-\[\]-~]*+\z"
 _ASCII = r"\A[\x00-\x7E]*+\z"
@@ -81,6 +81,8 @@ def _value_sql(x: str, data_type: T.DataType, depth: int = 0) -> str:
         text = _float_sql(x)
     elif isinstance(data_type, T.NumericType):
         text = _float_sql(f"CAST({x} AS DOUBLE)")
+    elif isinstance(data_type, T.VariantType):
+        text = _spaced_sql(f"to_json({x})")
     elif isinstance(data_type, T.StringType):
         text = string_sql(x)
     else:
@@ -113,22 +115,43 @@ def _retold_sql(t: str) -> str:
             f"WHEN {t} RLIKE {_sql(_JAVA_REAL)} THEN {number} ELSE {t} END")
 
 
+def _tokens_sql(x: str) -> str:
+    return f"regexp_extract_all({x}, {_sql(_TOKEN)}, 0)"
+
+
+def _spaced_sql(x: str) -> str:
+    """JSON text on one line with the separators of Python's printer; null stays null."""
+    told = f"CASE k WHEN ',' THEN ', ' WHEN ':' THEN ': ' ELSE {_retold_sql('k')} END"
+    return f"array_join(transform({_tokens_sql(x)}, k -> {told}), '')"
+
+
+def _indented_sql(x: str, depth: int) -> str:
+    """JSON text of any nesting, one item per line; ``depth`` is that of its first token.
+
+    The tokens are told one after the other; ``d`` is the depth so far and ``l`` what came
+    last: an opening bracket, a comma, a colon or anything else.
+    """
+    def line(depth: str) -> str:
+        return f"concat(chr(10), repeat('  ', {depth}))"
+    before = (f"CASE WHEN t IN ('}}', ']') THEN IF(s.l = 'o', '', {line('s.d - 1')}) "
+              f"WHEN t NOT IN (',', ':') AND s.l IN ('o', ',') THEN {line('s.d')} ELSE '' END")
+    told = f"CASE t WHEN ':' THEN ': ' ELSE {_retold_sql('t')} END"
+    deeper = "CASE WHEN t IN ('{', '[') THEN s.d + 1 WHEN t IN ('}', ']') THEN s.d - 1 ELSE s.d END"
+    last = "CASE WHEN t IN ('{', '[') THEN 'o' WHEN t IN (',', ':') THEN t ELSE 'v' END"
+    return (f"aggregate({_tokens_sql(x)}, named_struct('x', '', 'd', {depth}, 'l', ''), (s, t) -> "
+            f"named_struct('x', concat(s.x, {before}, {told}), 'd', {deeper}, 'l', {last}), s -> s.x)")
+
+
 def indented_rows(rows: str, shown: int | None = None) -> Column:
-    """A list of flat JSON objects, one field per line, indented by two spaces.
+    """A list of JSON objects of any nesting, one item per line, indented by two spaces.
 
     ``rows`` names the column.  With ``shown``, only that many rows are listed.
     """
     kept = rows if shown is None else f"slice({rows}, 1, {shown})"
-    tokens = f"regexp_extract_all(j, {_sql(_TOKEN)}, 0)"
-    keys, values = (f"filter({tokens}, (t, i) -> i % 2 = {odd})" for odd in (0, 1))
-    lines = (f"zip_with({keys}, {values}, (k, v) -> "
-             f"concat('    ', {_retold_sql('k')}, ': ', {_retold_sql('v')}))")
-    empty = f"j RLIKE {_sql(chr(92) + 'A[{}' + chr(92) + 's]*' + chr(92) + 'z')}"
-    one = (f"CASE WHEN {empty} THEN '  {{}}' ELSE concat('  {{', chr(10), "
-           f"array_join({lines}, concat(',', chr(10))), chr(10), '  }}') END")
     return F.expr(
         f"CASE WHEN size({rows}) = 0 THEN '[]' ELSE concat('[', chr(10), array_join("
-        f"transform({kept}, j -> {one}), concat(',', chr(10))), chr(10), ']') END")
+        f"transform({kept}, j -> concat('  ', {_indented_sql('j', 1)})), concat(',', chr(10))), "
+        f"chr(10), ']') END")
 
 
 def strict_record(line: Column, fields: str) -> Column:

@@ -57,7 +57,8 @@ TRAINING_RECORD = T.StructType([
     ])),
 ])
 
-# Messages whose extra keys have to survive a rewrite are read as maps.
+# Messages whose extra keys have to survive a rewrite are read as maps.  Values keep their types;
+# only the keys within a nested object lose their order.
 OPEN_RECORD = T.StructType([
-    T.StructField("messages", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
+    T.StructField("messages", T.ArrayType(T.MapType(T.StringType(), T.VariantType()))),
 ])

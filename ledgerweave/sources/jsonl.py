@@ -39,7 +39,7 @@ def annotated_questions(lines: DataFrame, tenant: Sequence[T.StructField] = ())
     rows = lines.select(_record(shape).alias("r"))
     first = F.try_element_at("r.messages", F.lit(1))
     return (rows.select(*[F.col(f"r.metadata.{f.name}") for f in tenant],
-                        first["_question"].alias("question"))
+                        first["_question"].cast("string").alias("question"))
             .where(F.coalesce(F.col("question"), F.lit("")) != "").distinct())
 
 

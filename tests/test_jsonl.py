@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,12 +33,25 @@ def test_records_and_rejects(spark):
 
 def test_strict_read(spark):
     ok = ['{"messages": [{"role": "user", "content": "u", "k": "v"}]}', " ", '{"x": 1}']
-    got = [r.messages for r in jsonl.read_strict(lines(spark, ok)).collect()]
+    got = [[{k: v.toPython() for k, v in m.items()} for m in r.messages]
+           for r in jsonl.read_strict(lines(spark, ok)).collect()]
     assert got == [[{"role": "user", "content": "u", "k": "v"}], []]
     with pytest.raises(Exception, match="malformed line: oops"):
         jsonl.read_strict(lines(spark, [*ok, "oops"])).count()
 
 
+def test_message_values_keep_their_types(spark):
+    message = {"role": "user", "content": "é \"x\"", "_question": "q", "n": 3, "f": 1.5, "ok": True, "no": None,
+               "s": "3", "list": [1, "two", [], {"a": {"b": [False, None]}, "c": "é"}], "none": {}}
+    record = {"messages": [message, {"role": "assistant", "content": "a"}], "metadata": 1}
+    rows = chat.training_rows(jsonl.read_strict(lines(spark, [json.dumps(record)])))
+    line = rows.select(chat.messages_line(rows.schema["messages"].dataType)).first()[0]
+    del message["_question"]
+    assert line == json.dumps({"messages": record["messages"]})
+    assert rows.select(chat.chat_text(F.col("messages"), "<", ":", ">")).first()[0] == (
+        '<user:é "x"><assistant:a>')
+
+
 def test_annotated_questions(spark):
     values = ['{"messages": [{"role": "system", "content": "s", "_question": "q1"}]}',
               '{"messages": []}', '{"messages": [{"role": "system", "_question": ""}]}', "x"]

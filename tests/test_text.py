@@ -81,6 +81,15 @@ def test_indented_rows(spark):
     assert got[3] == json.dumps(rows[:2], indent=2)
 
 
+def test_indented_nested_rows(spark):
+    rows = [{"a": {"b": [1, 2.5, {"c": None, "d": []}], "e": {}}, "f": "{[:,]}"}, {"g": [[], [["x"]], {}]}, {}]
+    df = spark.createDataFrame([([json.dumps(r) for r in rows],
+                                 [json.dumps(r, separators=(",", ":")) for r in rows])],
+                               "a array<string>, b array<string>")
+    got = df.select(jsontext.indented_rows("a"), jsontext.indented_rows("b")).first()
+    assert got[0] == got[1] == json.dumps(rows, indent=2)
+
+
 @pytest.mark.parametrize("style,body,answer", [
     ("choices", '{"choices": [{"message": {"content": " hi\\n"}}]}', "hi"),
     ("choices", '{"choices": []}', None), ("choices", "broken", None),
