@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 ATTEMPTS = 3
 BACKOFF = 2.0
 PAUSE = 0.5
+FLUSH_SECONDS = 1.0
 
 
 def _attempt(call: Callable[[], Sequence[str]], attempts: int, backoff: float):
@@ -30,32 +33,52 @@ def _attempt(call: Callable[[], Sequence[str]], attempts: int, backoff: float):
 def complete(df: DataFrame, prompt: str, fn: Callable[[list[str]], list[str]], *,
              answer: str = "answer", error: str = "error", attempts: int = ATTEMPTS,
              backoff: float = BACKOFF, pause: float = PAUSE, batch_size: int = 1,
-             concurrency: int | None = None) -> DataFrame:
+             concurrency: int | None = None, in_flight: int = 1) -> DataFrame:
     """Adds the function's answer per row, or the error after the last attempt.
 
     ``fn`` gets ``batch_size`` prompts at a time and a failure fails that batch.
-    ``concurrency`` spreads the rows evenly over that many tasks, each calling
-    one batch after the other.  Spark may run a task again, so calls happen at
-    least once: write the result before using it twice.
+    ``concurrency`` spreads the rows evenly over that many tasks.  A task has up to
+    ``in_flight`` calls open at once; a call that waits for its next attempt holds up no
+    other.  Rows leave the task in their order, at most ``FLUSH_SECONDS`` after their
+    call and those before it are done, and no more than two rounds of calls wait.  Spark may
+    run a task again, so calls happen at least once: write the result before using it
+    twice.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(answer, T.StringType()),
                            T.StructField(error, T.StringType())])
 
+    def ask(batch: list[str]) -> tuple[list[str | None], list[str | None]]:
+        got, problem = _attempt(lambda: list(fn(batch)), attempts, backoff)
+        if got is not None and len(got) != len(batch):
+            got, problem = None, f"{len(got)} answers to {len(batch)} prompts"
+        if pause and problem is None:
+            time.sleep(pause)
+        return (got if got is not None else [None] * len(batch)), [problem] * len(batch)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            answers: list[str | None] = []
-            errors: list[str | None] = []
-            prompts = frame[prompt].tolist()
-            for at in range(0, len(prompts), batch_size):
-                batch = prompts[at:at + batch_size]
-                got, problem = _attempt(lambda: list(fn(batch)), attempts, backoff)
-                if got is not None and len(got) != len(batch):
-                    got, problem = None, f"{len(got)} answers to {len(batch)} prompts"
-                answers += got if got is not None else [None] * len(batch)
-                errors += [problem] * len(batch)
-                if pause and problem is None:
-                    time.sleep(pause)
-            yield frame.assign(**{answer: answers, error: errors})
+        with ThreadPoolExecutor(in_flight) as pool:
+            for frame in frames:
+                yield from answered(frame, frame[prompt].tolist(), pool)
+
+    def answered(frame: pd.DataFrame, prompts: list[str], pool: ThreadPoolExecutor
+                 ) -> Iterator[pd.DataFrame]:
+        waiting: deque[Future] = deque()
+        answers, errors, shown, last = [], [], 0, time.monotonic()
+        for at in range(0, len(prompts) + 2 * in_flight * batch_size, batch_size):
+            if at < len(prompts):
+                waiting.append(pool.submit(ask, prompts[at:at + batch_size]))
+            while waiting and (len(waiting) >= 2 * in_flight or at >= len(prompts)
+                               or waiting[0].done()):
+                got, problems = waiting.popleft().result()
+                answers += got
+                errors += problems
+                if time.monotonic() - last >= FLUSH_SECONDS:
+                    yield frame.iloc[shown:shown + len(answers)].assign(
+                        **{answer: answers, error: errors})
+                    shown, last = shown + len(answers), time.monotonic()
+                    answers, errors = [], []
+        if answers:
+            yield frame.iloc[shown:].assign(**{answer: answers, error: errors})
 
     spread = df if concurrency is None else df.repartition(concurrency)
     return spread.mapInPandas(run, schema)

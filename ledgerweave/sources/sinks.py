@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,14 +42,19 @@ def append_training_records(records: DataFrame, path: str, mode: str = "append")
     records.select(line.alias("value")).write.mode(mode).text(path)
 
 
-def write_splits(rows: DataFrame, folder: str) -> None:
+def write_splits(rows: DataFrame, folder: str, order: Sequence[Column | str] = ()) -> None:
     """One folder of JSON lines per split: ``split=train``, ``split=valid``, ``split=test``.
 
-    ``rows`` has one row per record and split.
+    ``rows`` has one row per record and split.  With ``order``, lines follow it from file to
+    file by name and within each file; ranges of it are written side by side.
     """
     line = messages_line(rows.schema["messages"].dataType)
-    (rows.select("split", line.alias("value"))
-     .write.mode("overwrite").partitionBy("split").text(folder))
+    keys = [f"_o{i}" for i in range(len(order))]
+    laid = rows.select("split", line.alias("value"),
+                       *[(F.col(o) if isinstance(o, str) else o).alias(k) for k, o in zip(keys, order)])
+    if keys:
+        laid = laid.repartitionByRange("split", *keys).sortWithinPartitions("split", *keys)
+    laid.drop(*keys).write.mode("overwrite").partitionBy("split").text(folder)
 
 
 def answer_sizes(examples: DataFrame) -> DataFrame:
