@@ -132,7 +132,8 @@ def shuffled_copies(spark, d):
 def split_files(spark, d):
     """Splits written as JSON lines and read again."""
     path = shared_dir(spark)
-    sinks.write_splits(splitting.split_records(records(spark, d), ["conv_id"]), path)
+    split = splitting.split_records(records(spark, d), ["conv_id"])
+    sinks.write_splits(split, path, [splitting.shuffle_hash(["conv_id"]), "conv_id"])
     lines = spark.read.text(path)
     parsed = lines.select("split", jsontext.strict_record(
         F.col("value"), "struct<messages:array<struct<role:string,content:string>>>").alias("r"))
@@ -194,6 +195,30 @@ def indented_rows(spark, d):
     return lists.select("user_id", jsontext.indented_rows("rows").alias("results"))
 
 
+def nested_rows(spark, d):
+    """Conversations as indented JSON with lists, objects and typed values inside."""
+    rows = records(spark, d).select("conv_id", F.transform("messages", lambda m, i: F.struct(
+        m["role"].alias("role"), F.struct(i.alias("turn"), (i == 0).alias("first")).alias("at"),
+        F.when(i > 0, F.array(F.length(m["content"]).cast("int"))).otherwise(
+            F.array().cast("array<int>")).alias("sizes"))).alias("turns"))
+    row = jsontext.json_object(rows.schema)
+    return (rows.select("conv_id", F.array(row, F.lit('{"end":[{}, [null,1.5]]}')).alias("rows"))
+            .select("conv_id", jsontext.indented_rows("rows").alias("results")))
+
+
+def typed_messages(spark, d):
+    """Training lines whose messages hold typed extra keys, read, stripped and written again."""
+    extra = F.expr("concat('\"turn\": ', turn, ', \"user\": ', role = 'user', "
+                   "', \"tags\": [', turn, ', \"x\", {\"a\": [null, 0.5]}], \"_question\": \"q\"')")
+    quoted = jsontext.json_string("text")
+    one = F.concat(F.lit('{"role": "'), F.col("role"), F.lit('", "content": '), quoted, F.lit(", "),
+                   extra, F.lit("}"))
+    lines = turns(spark, d).select("conv_id", "turn", F.concat(
+        F.lit('{"messages": ['), one, F.lit(", "), one, F.lit('], "metadata": {}}')).alias("value"))
+    rows = chat.training_rows(jsonl.read_strict(lines))
+    return rows.select(chat.messages_line(rows.schema["messages"].dataType).alias("line"))
+
+
 def extract_completion(spark, d):
     t = turns(spark, d)
     quoted = jsontext.json_string(r"concat('  ', text, ' \n')")
@@ -506,6 +531,8 @@ QUERIES = {
     "whole_dollars": (whole_dollars, sql.WHOLE_DOLLARS),
     "json_lines": (json_lines, sql.JSON_LINES),
     "indented_rows": (indented_rows, sql.INDENTED_ROWS),
+    "nested_rows": (nested_rows, sql.NESTED_ROWS),
+    "typed_messages": (typed_messages, sql.TYPED_MESSAGES),
     "extract_completion": (extract_completion, sql.EXTRACT_COMPLETION),
     "date_keys": (date_keys, sql.DATE_KEYS),
     "reassemble_events": (reassemble_events, sql.REASSEMBLE_EVENTS),

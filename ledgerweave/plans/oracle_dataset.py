@@ -111,6 +111,23 @@ JSON_LINES = f"""SELECT doc_id, '{{"doc_id": ' || doc_id || ', "text": ' || {quo
   || ', "lang": ' || {quoted('lang')} || ', "source": ' ||
   CASE WHEN doc_id % 2 = 0 THEN {quoted('source')} ELSE 'null' END || '}}' AS line
   FROM documents"""
+_TURN_LINES = """'        {' || chr(10) || '          "role": "' || role || '",' || chr(10) ||
+  '          "at": {' || chr(10) || '            "turn": ' || i || ',' || chr(10) ||
+  '            "first": ' || (i = 0) || chr(10) || '          },' || chr(10) || '          "sizes": ' ||
+  CASE WHEN i = 0 THEN '[]' ELSE '[' || chr(10) || '            ' || length(text) || chr(10) ||
+    '          ]' END || chr(10) || '        }'"""
+NESTED_ROWS = f"""SELECT conv_id, '[' || chr(10) || '  {{' || chr(10) || '    "conv_id": ' || conv_id
+  || ',' || chr(10) || '    "turns": [' || replace(chr(10) || string_agg({_TURN_LINES},
+    ',' || chr(10) ORDER BY turn), chr(10) || '  ', chr(10)) || chr(10) || '    ]' || chr(10)
+  || '  }},' || chr(10) || '  {{' || chr(10) || '    "end": [' || chr(10) || '      {{}},' || chr(10)
+  || '      [' || chr(10) || '        null,' || chr(10) || '        1.5' || chr(10) || '      ]'
+  || chr(10) || '    ]' || chr(10) || '  }}' || chr(10) || ']' AS results
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations)
+  GROUP BY conv_id"""
+_TYPED = f"""'{{"role": "' || role || '", "content": ' || {quoted('text')} || ', "turn": ' || turn
+  || ', "user": ' || (role = 'user') || ', "tags": [' || turn || ', "x", {{"a": [null, 0.5]}}]}}'"""
+TYPED_MESSAGES = f"""SELECT '{{"messages": [' || {_TYPED} || ', ' || {_TYPED} || ']}}' AS line
+  FROM conversations"""
 EXTRACT_COMPLETION = f"""SELECT conv_id, turn, {strip('text')} AS choices,
   {strip('text')} AS message, CASE WHEN turn = 0 THEN '' ELSE {strip('text')} END AS response,
   CASE WHEN turn > 0 THEN {strip('text')} END AS blocks FROM conversations"""
@@ -137,7 +154,7 @@ COMPLETE_PROMPTS = """SELECT conv_id, turn,
 
 _BANK_ROWS = ", ".join(f"({i}, {lit(q.text)}, {lit(q.binding)})" for i, q in enumerate(BANK, 1))
 _BANK = f"""SELECT u.user_id, q.q_no, q.question, q.binding
-  FROM (SELECT DISTINCT user_id FROM accounts) u
+  FROM (SELECT user_id FROM accounts UNION SELECT user_id FROM transactions) u
   CROSS JOIN (SELECT * FROM (VALUES {_BANK_ROWS}) AS v(q_no, question, binding)) q"""
 _CTES = fin.BASE.replace(" AS (\n", " AS MATERIALIZED (\n")
 BANK_BINDINGS = f"""{_CTES} SELECT q_no, question, binding, COUNT(*) AS tenants FROM ({_BANK})
@@ -178,15 +195,31 @@ _SHAPES = {
 }
 
 
+# What a tenant without matching rows gets, by operator.
+_OVER_NOTHING = {
+    "spend_total": {"spent": None}, "income_total": {"income": None},
+    "avg_monthly": {"avg_amount": None}, "account_transfers": {"transferred": None},
+    "compare_periods": {"a": 0, "b": 0, "delta": 0, "pct": None},
+    "daily_average": {"spent": None, "days": 15, "per_day": None}, "transaction_count": {"n": 0},
+    "half_split": {"first_half": 0, "second_half": 0},
+    "cash_flow": {"income": 0, "spent": 0, "net": 0, "savings_rate": None},
+    "merchant_total": {"n": 0, "spent": None},
+}
+_TENANTS = "SELECT user_id FROM accounts UNION SELECT user_id FROM transactions"
+
+
 def _call_sql(call: Call) -> str:
+    statement = _found_sql(call)
+    if call.operator in _OVER_NOTHING:
+        return fin.every_tenant(statement, **_OVER_NOTHING[call.operator])
+    return statement
+
+
+def _found_sql(call: Call) -> str:
     p = dict(call.params)
     cases = {
-        "spend_total": lambda: f"""SELECT u.user_id, s.spent
-          FROM (SELECT DISTINCT user_id FROM accounts) u LEFT JOIN ({fin.spend_total(
-              p['period'], p.get('category'), p.get('account'))}) s USING (user_id)""",
-        "income_total": lambda: f"""SELECT u.user_id, s.income
-          FROM (SELECT DISTINCT user_id FROM accounts) u
-          LEFT JOIN ({fin.income_total(p['period'])}) s USING (user_id)""",
+        "spend_total": lambda: fin.spend_total(p["period"], p.get("category"), p.get("account")),
+        "income_total": lambda: fin.income_total(p["period"]),
         "daily_average": lambda: fin.DAILY_AVERAGE,
         "half_split": lambda: fin.HALF_SPLIT,
         "budget_pace": lambda: fin.BUDGET_PACE,
@@ -200,7 +233,7 @@ def _call_sql(call: Call) -> str:
         "monthly_trend": lambda: fin.monthly_trend_over(
             ["2001-02", "2001-03", "2001-04", "2001-05"][-p["n"]:], fin.METRICS[p["measure"]],
             {"spend": "amount > 0", "net": "TRUE"}[p["measure"]]
-            + (f" AND category = '{p['category']}'" if p["category"] else "")),
+            + (f" AND category = '{p['category']}'" if p["category"] else ""), _TENANTS),
         "top_transactions": lambda: fin.top_transactions(p["period"], p["k"], p.get("by_abs")),
         "recurring_charges": lambda: fin.recurring_charges(p["min_months"], p["always"]),
         "extreme_month": lambda: fin.extreme_month(p["measure"], p["which"]),

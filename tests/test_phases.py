@@ -1,9 +1,15 @@
+import datetime as dt
 import json
+import shutil
+import threading
+import time
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerweave.plans import adhoc, annotate, answering, collect, completion, resume
+from ledgerweave import schemas
+from ledgerweave.plans import adhoc, annotate, answering, collect, completion, resume, runs
 from ledgerweave.sources import jsonl, sinks, tables
 from ledgerweave.sources.questions import QUESTIONS, Domain, Question, call, rename
 from ledgerweave.streaming import tokens
@@ -15,7 +21,8 @@ NO_WAIT = {"backoff": 0, "pause": 0}
 def test_question_bank():
     assert len(QUESTIONS) == 88 and len({q.text for q in QUESTIONS}) == 88
     assert {c.operator for q in QUESTIONS for c in q.calls} <= {
-        *collect.OPERATORS, "spend_total", "budget_status"}
+        *collect.OPERATORS, *collect.TALLIES, "merchant_total", "top_categories", "top_transactions",
+        "account_activity", "budget_status"}
 
 
 def test_rename():
@@ -81,16 +88,38 @@ def test_one_failure_does_not_touch_the_others(spark):
 QUERY_ERRORS = ["DROP TABLE t", "SELECT 1; SELECT 2", "SELECT nope FROM t", "INSERT INTO t VALUES (1)",
                 "SELECT reflect('java.lang.System', 'nanoTime')", "SHOW TABLES",
                 "SELECT IDENTIFIER('java_' || 'method')('java.lang.System', 'nanoTime')",
-                "SELECT * FROM parquet.`/root/testdata/sf0.001/nation.parquet`"]
+                "SELECT * FROM parquet.`/root/testdata/sf0.001/nation.parquet`",
+                "SELECT * FROM other_view", "SELECT * FROM t WHERE a IN (SELECT id FROM other_view)",
+                "SELECT (SELECT max(id) FROM other_view) FROM t", "SELECT * FROM default.t",
+                "WITH x AS (SELECT * FROM other_view) SELECT * FROM x", "SELECT input_file_name() FROM t",
+                "SELECT * FROM (WITH other_view AS (SELECT 1) SELECT * FROM other_view) a, other_view",
+                "SELECT * FROM IDENTIFIER('t')", "SELECT default.abs(a) FROM t", "SELECT secret() FROM t"]
 
 
 @pytest.mark.parametrize("sql", QUERY_ERRORS)
 def test_queries_refused(spark, sql):
     t = spark.range(3).toDF("a")
+    spark.range(9).createOrReplaceTempView("other_view")
+    spark.udf.register("secret", lambda: "s")
     got = adhoc.run_query(spark, sql, {"t": t})
     assert got.rows is None and got.error.startswith("SQL error: ")
 
 
+def test_queries_leave_the_session_alone(spark):
+    spark.range(9).createOrReplaceTempView("t")
+    before = sorted(x.name for x in spark.catalog.listTables())
+    files = spark.conf.get("spark.sql.runSQLOnFiles")
+    t = spark.createDataFrame([("reflect on identifier",), ("x",)], "a string")
+    for text in ("SELECT a FROM t WHERE a ILIKE '%reflect%'", "SELECT a FROM T WHERE a LIKE '%identifier%'",
+                 "WITH b AS (SELECT a FROM t) SELECT b.a FROM b JOIN t ON b.a = t.a WHERE length(b.a) > 1",
+                 "SELECT a FROM t WHERE length(a) = (SELECT max(length(a)) FROM t)"):
+        got = adhoc.run_query(spark, text, {"t": t})
+        assert got.error == "" and [r.a for r in got.rows.collect()] == ["reflect on identifier"]
+    assert spark.table("t").count() == 9 and spark.conf.get("spark.sql.runSQLOnFiles") == files
+    assert sorted(x.name for x in spark.catalog.listTables()) == before
+    assert adhoc.run_query(spark, "SELECT 1 AS a", {}).rows.first().a == 1
+
+
 def test_query_cap_and_late_failure(spark):
     t = spark.range(500).toDF("a")
     got = adhoc.run_query(spark, "SELECT a FROM t ORDER BY a DESC -- newest;", {"t": t})
@@ -116,6 +145,45 @@ def test_answers_from_query_texts(spark):
     assert (got[1].outcome, got[1].error) == ("error", answering.NO_SQL)
 
 
+def test_answers_of_one_tenant(spark):
+    t = spark.createDataFrame([(1, "A", 1.5), (2, "B", 2.0)], "user_id long, category string, amount double")
+    limits = spark.createDataFrame([(1, "A", 9.0), (2, "A", 1.0)], "user_id long, category string, monthly_limit double")
+    texts = [("all?", "SELECT * FROM t"), ("none?", "SELECT * FROM t WHERE amount > 5"), ("bad?", "SELECT user_id FROM t")]
+    got = answering.answer_questions(spark, texts, {"t": t}, limits, Domain(), tenant={"user_id": 1},
+                                     fn=lambda ps: [p[:9] for p in ps], **NO_WAIT).orderBy("q_no").collect()
+    assert got[0].rows == ['{"category": "A", "amount": 1.5}'] and "A: $9/month" in got[0].context_section
+    assert [r.outcome for r in got] == ["ok", "no_data", "error"]
+    assert len(got[0].answer) == 9 and got[1].answer == got[2].answer == ""
+
+
+def test_calls_overlap_and_leave_in_order(spark):
+    """Eight slow calls at once, none of which waits for the one that backs off."""
+    def slow(prompts, state, lock):
+        with lock:
+            state["open"] += 1
+            state["most"] = max(state["most"], state["open"])
+        time.sleep(0.05)
+        with lock:
+            state["open"] -= 1
+            if prompts[0] == "p3" and not state["failed"]:
+                state["failed"] = True
+                raise RuntimeError("busy")
+        return [f"{p} {state['most']}" for p in prompts]
+    frames = [f"p{i}" for i in range(64)]
+    df = spark.createDataFrame([(p,) for p in frames], "p string").coalesce(1)
+
+    def most(in_flight):
+        # the lock cannot be pickled, so each task makes its own
+        def fn(prompts, own={}):
+            if not own:
+                own["state"], own["lock"] = {"open": 0, "most": 0, "failed": False}, threading.Lock()
+            return slow(prompts, own["state"], own["lock"])
+        got = completion.complete(df, "p", fn, backoff=1.5, pause=0, in_flight=in_flight).collect()
+        assert [r.p for r in got] == frames and all(r.error is None for r in got)
+        return max(int(r.answer.split()[1]) for r in got)
+    assert most(1) == 1 and most(8) > 3
+
+
 def raw(spark, questions):
     rows = [(q, "s", ['{"a": 1}'], "", "prompt " + q, "base", "") for q in questions]
     return spark.createDataFrame(rows, "question string, sql string, rows array<string>, "
@@ -134,6 +202,29 @@ def test_annotation_resumes(spark, tmp_path):
     assert strict.count() == 2
 
 
+def test_chunks_keep_what_is_finished(spark, tmp_path):
+    """A run that dies in a later chunk loses that chunk only; the next run adds the rest once."""
+    paths = [str(tmp_path / p) for p in ("raw", "out")]
+    sinks.append_raw_examples(raw(spark, [f"q{i}" for i in range(40)]), paths[0])
+    calls = []
+
+    def stops(annotated, *rest, real=runs.append_training_records):
+        calls.append(1)
+        if len(calls) == 3:
+            raise KeyboardInterrupt
+        real(annotated, *rest)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(runs, "append_training_records", stops)
+        with pytest.raises(KeyboardInterrupt):
+            runs.run_annotate(spark, *paths, Domain(), lambda ps: ["gold"] * len(ps), chunks=4, **NO_WAIT)
+    kept = spark.read.text(paths[1]).count()
+    assert 0 < kept < 40
+    got = runs.run_annotate(spark, *paths, Domain(), lambda ps: ["gold"] * len(ps), chunks=4, **NO_WAIT)
+    assert {r["result"]: r["n"] for r in got.collect()} == {"skipped": kept, "annotated": 40 - kept}
+    lines = [json.loads(r[0])["metadata"]["question"] for r in spark.read.text(paths[1]).collect()]
+    assert sorted(lines) == sorted(f"q{i}" for i in range(40))
+
+
 def test_stream_adds_only_new_questions(spark, tmp_path):
     paths = [str(tmp_path / p) for p in ("raw", "out", "state")]
     for questions in (["a", "b"], ["b", "c"]):
@@ -200,3 +291,53 @@ def test_check_table(spark):
     got = {r.rule: r.violations
            for r in tables.check_table(df, "t", ["id", "c"], ["id"], {"c": ["x"]}).collect()}
     assert got == {"id not null": 0, "c not null": 1, "c in domain": 1, "id unique": 1}
+
+
+def _small_tables(spark, path, register=None):
+    """Two tenants with transactions, one of them without an account, and one without any."""
+    rows = [(1, 1, dt.date(2024, 3, 5), "Starbucks", Decimal("5.00"), "Restaurants", "Checking"),
+            (1, 1, dt.date(2024, 3, 5), "Starbucks", Decimal("5.00"), "Restaurants", "Checking"),
+            (1, 2, dt.date(2024, 2, 5), "Employer", Decimal("-100.00"), "Income", "Checking"),
+            (2, 3, dt.date(2024, 2, 9), "Market", Decimal("9.50"), "Groceries", "Credit Card")]
+    spark.createDataFrame(rows, schemas.TRANSACTIONS).write.mode("overwrite").parquet(path)
+    accounts = spark.createDataFrame([(1, "Checking", "c", Decimal("7.00")), (3, "Checking", "c", None)],
+                                     schemas.ACCOUNTS)
+    budgets = spark.createDataFrame([(1, "Groceries", Decimal("600"))], schemas.BUDGETS)
+    return collect.Tables(spark.read.schema(schemas.TRANSACTIONS).parquet(path), accounts, budgets,
+                          "2024-03-31", register=register)
+
+
+def test_bank_reads_transactions_once(spark, tmp_path):
+    path = str(tmp_path / "tx")
+    calls = collect.distinct_calls(QUESTIONS)
+    tables = _small_tables(spark, path).covering(calls)
+    plan = collect.working_set(tables)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert tables.working_set.count() > 0
+    shutil.rmtree(path)                    # nothing else may read them
+    got = collect.collect_answers(tables, Domain()).collect()
+    assert len(got) == 3 * len(QUESTIONS)
+    rows = {(r["user_id"], r["sql"]): list(r["rows"]) for r in got}
+    merchant = [c for c in calls if c.operator == "merchant_total"]
+    coffee = next(c.text for c in merchant if "starbucks" in c.text)
+    assert rows[1, coffee] == ['{"n": 2, "spent": 10.0}']
+    for tenant in (2, 3):                  # zero rows are an answer, not missing data
+        assert rows[tenant, coffee] == ['{"n": 0, "spent": null}']
+    for c in calls:
+        if c.operator in collect.TALLIES:
+            assert all(rows.get((t, c.text), ["x"]) for t in (1, 2, 3))
+    top = next(c.text for c in calls if c.operator == "top_transactions")
+    assert '"description": "Market"' in rows[2, top][0] and rows[3, top] == []
+
+
+def test_nothing_left_reads_no_transactions(spark, tmp_path):
+    path = str(tmp_path / "tx")
+    register = spark.createDataFrame([(1,), (2,)], "user_id long")
+    tables = _small_tables(spark, path, register)
+    every = collect.tenant_questions(register, QUESTIONS).select("user_id", "question")
+    one_left = every.where(f"NOT (user_id = 2 AND question = '{QUESTIONS[1].text}')")
+    got = collect.collect_answers(tables, Domain(), one_left).collect()
+    assert [(r["user_id"], r["question"]) for r in got] == [(2, QUESTIONS[1].text)]
+    assert "Market" not in got[0]["rows"][0] and "Groceries" in got[0]["rows"][0]
+    shutil.rmtree(path)
+    assert collect.collect_answers(tables, Domain(), every).collect() == []

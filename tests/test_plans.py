@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from ledgerweave.plans import finance_queries
-from ledgerweave.sources import star
+from ledgerweave.sources import shared, star
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -59,3 +59,13 @@ def test_owner_join_keeps_line_items_to_one_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert text.count("Exchange hashpartitioning(l_orderkey") == 1
     assert text.count("Exchange hashpartitioning(l_partkey") == 1
+
+
+def test_local_folders_are_refused_on_a_cluster():
+    for folder in ("spark-warehouse", "/tmp/x", "file:/tmp/x", "file:///tmp/x"):
+        shared.check_shared(folder, "local[8]")
+        for master in ("yarn", "spark://host:7077", "k8s://host"):
+            with pytest.raises(ValueError):
+                shared.check_shared(folder, master)
+    shared.check_shared("hdfs://host/warehouse", "yarn")
+    shared.check_shared("s3a://bucket/warehouse", "k8s://host")

@@ -1,10 +1,12 @@
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerweave.plans import splitting
 from ledgerweave.plans.splitting import split_sizes
+from ledgerweave.sources import sinks
 
 
 def expected(n):
@@ -90,3 +92,17 @@ def test_labels_move_no_records(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     plan = splitting.split_records(df, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_files_are_in_shuffled_order(spark, tmp_path):
+    df = spark.range(2000).select(F.col("id").alias("k"), F.array(F.struct(
+        F.lit("user").alias("role"), F.col("id").cast("string").alias("content"))).alias("messages"))
+    split = splitting.split_records(df, ["k"])
+    sinks.write_splits(split.repartition(7), str(tmp_path / "out"), [splitting.shuffle_hash(["k"]), "k"])
+    place = {r.k: r.position for r in splitting.shuffled_positions(df, ["k"]).collect()}
+    every = []
+    for name in ("valid", "test", "train"):
+        files = sorted((tmp_path / "out" / f"split={name}").glob("part-*"))
+        lines = [json.loads(x) for f in files for x in f.read_text().splitlines()]
+        every += [place[int(x["messages"][0]["content"])] for x in lines]
+    assert every == list(range(1, 2001))
