@@ -25,7 +25,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - used as pa.compute
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -140,6 +139,7 @@ class WaveletMatrix:
 
 def pack(ids: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray) -> bytes:
     """One file record: header, document table, alphabet and planes, each part compressed."""
+    import zstandard
     used = np.zeros(int(ids.max(initial=0)) + 1, dtype=bool)
     used[ids] = True
     alphabet = np.flatnonzero(used).astype("<u4")
@@ -159,6 +159,7 @@ class Shard:
     """A record read back: its documents and, by rank in the alphabet, its wavelet matrix."""
 
     def __init__(self, record: bytes):
+        import zstandard
         if record[:8] != _MAGIC:
             raise ValueError("not a token record")
         n, count = struct.unpack_from("<QI", record, 8)
