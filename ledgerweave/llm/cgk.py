@@ -6,9 +6,11 @@ at each step it writes the current word and moves on or stays, as a random bit o
 and word says.  Sequences with few edits agree in most steps, so the words written at
 a few sampled steps are an LSH key.  ``repetitions`` follow from the recall wanted per
 window; a passage has several windows that match, and every hit is verified by the
-exact edit distance.  Windows of an item's size start at every word of a text.  Before
-the walk, a window is dropped only if it holds fewer of the item's words than any match
-must have, which loses nothing.
+exact edit distance.  Windows of an item's size start at every word of a text.  Their keys
+are looked up in tables of the items' keys, one a repetition; only what shares a key there
+is a candidate.  A window is not walked if it holds fewer words of every item of its size
+than a match must have, which loses nothing.  ``audit`` measures the recall of the keys
+against a search without them.
 
 Benchmark items are read in parts of at most ``PART_BYTES`` (one scan of the texts
 each), so what a task holds does not grow with the benchmark.  Items of fewer than
@@ -75,6 +77,13 @@ def distances(pattern: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return best
 
 
+def _sized_keys(hashes: np.ndarray, start: np.ndarray, sizes: np.ndarray, part: np.ndarray,
+                turn: int) -> np.ndarray:
+    """Keys of the windows at ``start``, sampled at these parts of their walks; sizes apart."""
+    steps = (part[:, None] * 1.6 * sizes).astype(np.int64)
+    return words.mix(embedded(hashes, start, steps, turn) + sizes.astype(np.uint64))
+
+
 class Index:
     """The words of benchmark items and the keys of their embeddings."""
 
@@ -85,10 +94,12 @@ class Index:
         kept = [i for i, w in enumerate(whole) if len(w) >= max(1, min_words)]
         self.ids, self.items = [ids[i] for i in kept], [whole[i] for i in kept]
         sizes = np.array([len(w) for w in self.items], dtype=np.int64)
+        self.sizes = sizes
         self.edits = np.floor(sizes * (1 - similarity) + 1e-9).astype(np.int64)
         self.reach = sizes + self.edits
         self._post()
-        agree = max(0.2, 2 * similarity - 1) ** SAMPLES
+        # an edit puts the walks out of step for about three steps until they meet again
+        agree = max(0.2, 3 * similarity - 2) ** SAMPLES
         turns = max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree)))
         draw = np.random.default_rng(1)
         flat = np.concatenate([*self.items, np.zeros(1, np.uint64)])
@@ -96,8 +107,9 @@ class Index:
         self.turns = []
         for turn in range(turns):
             part = np.sort((np.arange(SAMPLES) + draw.random(SAMPLES)) / SAMPLES)
-            steps = (part[:, None] * 1.6 * sizes).astype(np.int64)
-            self.turns.append((steps, embedded(flat, start, steps, turn)))
+            keys = _sized_keys(flat, start, sizes, part, turn)
+            order = np.argsort(keys, kind="stable")
+            self.turns.append((part, keys[order], order))
 
     def _post(self) -> None:
         """Which items have a word, by vocabulary; rare words only where they are enough."""
@@ -144,18 +156,32 @@ class Index:
         found = np.unique((np.repeat(item, many) << 32) | start)
         return found >> 32, found & 0xFFFFFFFF
 
-    def leaks(self, hashes: np.ndarray, of: np.ndarray) -> list[list[tuple[int, int, int]]]:
+    def candidates(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, slot) of the items whose key a window has; a slot is as wide as the edits."""
+        item, start = self.windows(hashes)
+        window = np.unique((self.sizes[item] << 32) | start)
+        size, start = window >> 32, window & 0xFFFFFFFF
+        found = [np.zeros((2, 0), np.int64)]
+        for turn, (part, keys, order) in enumerate(self.turns if len(start) else []):
+            key = _sized_keys(hashes, start, size, part, turn)
+            low = np.searchsorted(keys, key, "left")
+            many = np.searchsorted(keys, key, "right") - low
+            nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            item = order[np.repeat(low, many) + nth]
+            found.append(self._slots(item, np.repeat(start, many)))
+        return tuple(np.unique(np.concatenate(found, axis=1), axis=1))
+
+    def _slots(self, item: np.ndarray, start: np.ndarray) -> np.ndarray:
+        return np.unique(np.stack([item, start // np.maximum(1, self.edits[item])]), axis=1)
+
+    def leaks(self, hashes: np.ndarray, of: np.ndarray,
+              by_keys: bool = True) -> list[list[tuple[int, int, int]]]:
         """Per text of a block, (item, edits, first word) of each item found."""
         found: list[dict[int, tuple[int, int]]] = [{} for _ in range(len(of) - 1)]
         if len(hashes) and self.items:
-            item, start = self.windows(hashes)
-            alike = np.zeros(len(item), dtype=bool)
-            for turn, (steps, keys) in enumerate(self.turns if len(item) else []):
-                alike |= embedded(hashes, start, steps[:, item], turn) == keys[item]
-            slot = start[alike] // np.maximum(1, self.edits[item[alike]])
-            merged = np.unique(np.stack([item[alike], slot]), axis=1)
-            for i in np.unique(merged[0]):
-                self._verify(int(i), merged[1][merged[0] == i], hashes, of, found)
+            item, slot = self.candidates(hashes) if by_keys else self._slots(*self.windows(hashes))
+            for i in np.unique(item):
+                self._verify(int(i), slot[item == i], hashes, of, found)
         return [[(i, d, s) for i, (d, s) in sorted(x.items())] for x in found]
 
     def _verify(self, i: int, slots: np.ndarray, hashes: np.ndarray, of: np.ndarray,
@@ -186,8 +212,11 @@ LEAK = "array<struct<item_id: long, item_words: long, edits: long, near_word: lo
 
 
 def leaks(text: str | Column, benchmark: DataFrame, similarity: float = SIMILARITY,
-          recall: float = RECALL, min_words: int = MIN_WORDS) -> Column:
-    """A column with the items found in a text; empty where there are none."""
+          recall: float = RECALL, min_words: int = MIN_WORDS, by_keys: bool = True) -> Column:
+    """A column with the items found in a text; empty where there are none.
+
+    ``by_keys=False`` verifies every window that is not dropped, as ``audit`` does.
+    """
     text = F.col(text) if isinstance(text, str) else text
     spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text") \
@@ -198,16 +227,16 @@ def leaks(text: str | Column, benchmark: DataFrame, similarity: float = SIMILARI
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).collect()
         index = Index([r[0] for r in rows], [r[1] for r in rows], similarity, recall, min_words)
-        found.append(_finder(spark.sparkContext.broadcast(index))(text))
+        found.append(_finder(spark.sparkContext.broadcast(index), by_keys)(text))
     return F.concat(*found)
 
 
-def _finder(shared):
+def _finder(shared, by_keys):
     def find(text: pa.Array) -> pa.Array:
         index, out = shared.value, []
         batch = pa.RecordBatch.from_arrays([text], ["text"])
         for _, data, at in words.blocks(iter([batch]), "text"):
-            for got in index.leaks(*tokens(data, at)):
+            for got in index.leaks(*tokens(data, at), by_keys):
                 out.append([{"item_id": index.ids[i], "item_words": len(index.items[i]),
                              "edits": d, "near_word": s} for i, d, s in got])
         return pa.array(out, pa.list_(pa.struct([
@@ -221,6 +250,16 @@ def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     return docs.where(F.size(leaks("text", benchmark, **options)) == 0)
 
 
+def audit(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """One row: pairs of text and item within the distance, and how many the keys find."""
+    both = docs.select(leaks("text", benchmark, **options).alias("keyed"),
+                       leaks("text", benchmark, by_keys=False, **options).alias("whole"))
+    return (both.agg(F.coalesce(F.sum(F.size("whole")), F.lit(0)).alias("pairs"),
+                     F.coalesce(F.sum(F.size(F.array_intersect("keyed.item_id", "whole.item_id"))),
+                                F.lit(0)).alias("found"))
+            .withColumn("recall", F.when(F.col("pairs") > 0, F.col("found") / F.col("pairs"))))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and item found in it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

@@ -226,6 +226,28 @@ def test_leaks_equal_brute_force(spark):
     assert {r["doc_id"] for r in clean.collect()} == set(range(len(texts))) - {d for d, _ in want}
 
 
+def test_leaks_come_from_the_keys(spark):
+    """Without a shared key there is no candidate, and the audit counts what the keys miss."""
+    item = prose(5, 40, 300)
+    index = cgk.Index([1], [" ".join(item)])
+    hashes, of = cgk.tokens(*words.text_array(pa.array([" ".join(prose(6, 30) + item)])))
+    assert index.leaks(hashes, of) == index.leaks(hashes, of, by_keys=False) != [[]]
+    index.turns = [(part, keys + np.uint64(1), order) for part, keys, order in index.turns]
+    assert index.leaks(hashes, of) == [[]]
+    items = [prose(60 + i, 20 + i % 30, 300) for i in range(40)]
+    texts = []
+    for i, whole in enumerate(items):
+        copy, rng = list(whole), random.Random(i)
+        for at in rng.sample(range(len(copy)), len(copy) // 6):
+            copy[at] = "changed"
+        texts.append(" ".join(prose(300 + i, 80, 300) + copy + prose(400 + i, 9, 300)))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)],
+                                  "item_id long, text string")
+    got = cgk.audit(documents(spark, texts), bench).first()
+    assert got["pairs"] >= 40 and got["recall"] >= 0.95
+    assert tuple(cgk.audit(documents(spark, []), bench).first()) == (0, 0, None)
+
+
 def test_leaks_read_the_benchmark_in_parts(spark, monkeypatch):
     monkeypatch.setattr(cgk, "PART_BYTES", 200)
     items = [prose(i, 30) for i in range(8)]
