@@ -471,13 +471,38 @@ def domain_check(spark, d):
                                "account": ("BUILDING", "MACHINERY")})
 
 
-def upsert_latest(spark, d):
+def _balances(spark, d):
     orders = star.read(spark, d, "orders")
     base = star.read(spark, d, "customer").select("c_custkey", F.col("c_acctbal").alias("value"))
-    updates = orders.select(F.col("o_custkey").alias("c_custkey"),
-                            F.col("o_totalprice").alias("value"),
-                            F.col("o_orderkey").alias("seq"))
-    return tables.upsert(base, updates, ["c_custkey"], "seq")
+    return base, orders.select(F.col("o_custkey").alias("c_custkey"),
+                               F.col("o_totalprice").alias("value"),
+                               F.col("o_orderkey").alias("seq"),
+                               F.col("o_orderdate").cast("date").alias("day"))
+
+
+def upsert_latest(spark, d):
+    base, updates = _balances(spark, d)
+    return tables.upsert(base, updates.drop("day"), ["c_custkey"], "seq")
+
+
+def merge_latest(spark, d):
+    """Updates merged in place twice: the orders before 1997, then those after."""
+    base, updates = _balances(spark, d)
+    path = shared_dir(spark)
+    tables.write_keyed(base, path, ["c_custkey"])
+    early = F.col("day") < F.lit("1997-01-01").cast("date")
+    for some in (updates.where(early), updates.where(~early)):
+        tables.merge_keyed(some.drop("day"), path, base.schema, ["c_custkey"], "seq")
+    return tables.read_keyed(spark, path, base.schema)
+
+
+def period_reloaded(spark, d):
+    """Last month's sums from month folders, of which the others are not read."""
+    path = shared_dir(spark)
+    tables.write_transactions(star.transactions(spark, d), path)
+    tx = tables.load_transactions(spark, path, "last_month", AS_OF)
+    return tx.groupBy("user_id").agg(F.count("*").alias("n"),
+                                     F.sum("amount").cast("double").alias("amount"))
 
 
 def tables_reloaded(spark, d):
@@ -557,6 +582,8 @@ QUERIES = {
     "schema_check": (schema_check, sql.SCHEMA_CHECK),
     "domain_check": (domain_check, sql.DOMAIN_CHECK),
     "upsert_latest": (upsert_latest, sql.UPSERT_LATEST),
+    "merge_latest": (merge_latest, sql.MERGE_LATEST),
+    "period_reloaded": (period_reloaded, sql.PERIOD_RELOADED),
     "tables_reloaded": (tables_reloaded, sql.TABLES_RELOADED),
     "result_caps": (result_caps, sql.RESULT_CAPS),
 }

@@ -426,6 +426,14 @@ DOMAIN_CHECK = _CTES + " UNION ALL ".join([
 UPSERT_LATEST = """SELECT COALESCE(c.c_custkey, o.k) AS c_custkey, COALESCE(o.v, c_acctbal) AS value
   FROM customer c FULL JOIN (SELECT o_custkey AS k, arg_max(o_totalprice, o_orderkey) AS v
     FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.k"""
+_LAST_PRICE = """SELECT o_custkey AS k, arg_max(o_totalprice, o_orderkey) AS v FROM orders
+    WHERE CAST(o_orderdate AS DATE) {} DATE '1997-01-01' GROUP BY o_custkey"""
+MERGE_LATEST = f"""SELECT COALESCE(c.c_custkey, a.k, b.k) AS c_custkey,
+  COALESCE(b.v, a.v, c_acctbal) AS value FROM customer c
+  FULL JOIN ({_LAST_PRICE.format('<')}) a ON c.c_custkey = a.k
+  FULL JOIN ({_LAST_PRICE.format('>=')}) b ON COALESCE(c.c_custkey, a.k) = b.k"""
+PERIOD_RELOADED = f"""{_CTES} SELECT user_id, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount
+  FROM transactions WHERE {fin.PERIODS['last_month']} GROUP BY user_id"""
 TABLES_RELOADED = f"""{_CTES} SELECT t.user_id, n, amount, balance, limits
   FROM (SELECT user_id, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount FROM transactions
         GROUP BY user_id) t

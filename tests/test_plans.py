@@ -6,7 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from ledgerweave.plans import finance_queries
-from ledgerweave.sources import shared, star
+from ledgerweave.periods import in_period, resolve
+from ledgerweave.sources import shared, star, tables
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -69,3 +70,21 @@ def test_local_folders_are_refused_on_a_cluster():
                 shared.check_shared(folder, master)
     shared.check_shared("hdfs://host/warehouse", "yarn")
     shared.check_shared("s3a://bucket/warehouse", "k8s://host")
+
+
+def test_months_outside_the_period_are_not_read(spark, tmp_path):
+    tables.write_transactions(star.transactions(spark, SF_DIR), str(tmp_path))
+    months = sorted(p.name for p in (tmp_path / "transactions").iterdir() if "=" in p.name)
+    some = tables.load_transactions(spark, str(tmp_path), "last_month", finance_queries.AS_OF)
+    scan = plan(some)
+    assert "PartitionFilters: [isnotnull(tx_month" in scan and "tx_month" not in some.columns
+    whole = tables.load_transactions(spark, str(tmp_path))
+    assert whole.count() == star.transactions(spark, SF_DIR).count()
+    start = resolve("last_month", finance_queries.AS_OF).start
+    for month in months:                  # the other months' files cannot be read any more
+        if month != f"tx_month={start}":
+            for file in (tmp_path / "transactions" / month).glob("*.parquet"):
+                file.write_bytes(b"x" * file.stat().st_size)
+    want = star.transactions(spark, SF_DIR).where(
+        in_period("tx_date", "last_month", finance_queries.AS_OF))
+    assert some.exceptAll(want).isEmpty() and some.count() == want.count() > 0
