@@ -235,6 +235,24 @@ def test_stream_adds_only_new_questions(spark, tmp_path):
     assert sorted(x["metadata"]["question"] for x in lines) == ["a", "b", "c"]
 
 
+def test_stream_state_holds_each_key_once(spark, tmp_path):
+    """Repeats within a batch and from earlier runs are found in the state; no key is listed."""
+    paths = [str(tmp_path / p) for p in ("raw", "out", "state")]
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    for questions, held in ((["a", "b", "b"], 2), (["b", "c"], 3), (["a", "c"], 3)):
+        sinks.append_raw_examples(raw(spark, questions), paths[0])
+        query = annotate_increments(spark, *paths, Domain(), lambda ps: ["gold"] * len(ps),
+                                    **NO_WAIT)
+        query.awaitTermination()
+        state = query.lastProgress["stateOperators"][0]
+        assert state["numRowsTotal"] == held and "rocksdbGetCount" in state["customMetrics"]
+    lines = spark.read.option("recursiveFileLookup", True).text(paths[1]).collect()
+    assert sorted(json.loads(r[0])["metadata"]["question"] for r in lines) == ["a", "b", "c"]
+    assert not (tmp_path / "state" / "work" / "keys").exists()
+    assert spark.conf.get(setting) == before
+
+
 def _down(prompts):
     raise OSError("no model")
 
