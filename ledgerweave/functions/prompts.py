@@ -55,6 +55,48 @@ Rules:
 - Return ONLY the SQL query, no explanation, no markdown fences
 """
 
+#: The tables as ``plans.adhoc`` offers them, and rules in the SQL that it runs.
+SPARK_TABLE_TEXT = """
+Table: transactions
+  id          BIGINT
+  tx_date     DATE
+  description STRING            -- merchant / payee name
+  amount      DECIMAL(18,2)     -- positive = expense, negative = income/credit
+  category    STRING
+  account     STRING
+
+Table: accounts
+  name    STRING
+  type    STRING
+  balance DECIMAL(18,2)
+
+Table: budgets
+  category      STRING
+  monthly_limit DECIMAL(18,2)   -- monthly spending limit in dollars
+"""
+
+SPARK_SQL_TEMPLATE = """\
+You are a Spark SQL expert. Write one SQL query to answer the question below.
+
+Schema:
+{schema}
+
+Question: "{question}"
+
+Rules:
+- Today is DATE'{as_of}'; never use current_date() or now()
+- Use date_format(tx_date, 'yyyy-MM') to group by month
+- "last month"  -> WHERE tx_date >= add_months(trunc(DATE'{as_of}', 'MM'), -1)
+                   AND tx_date <  trunc(DATE'{as_of}', 'MM')
+- "this month"  -> WHERE tx_date >= trunc(DATE'{as_of}', 'MM')
+- "this year"   -> WHERE tx_date >= trunc(DATE'{as_of}', 'YEAR')
+- "last N days" -> WHERE tx_date >= date_sub(DATE'{as_of}', N)
+- Positive amounts are expenses; negative amounts are income / credits
+- For spending totals: SUM(amount) WHERE amount > 0
+- Always include ORDER BY tx_date DESC or ORDER BY total DESC where useful
+- Return ONLY the SQL query, no explanation, no markdown fences
+"""
+
 ANSWER_TEMPLATE = """\
 The user asked: "{question}"
 
@@ -129,6 +171,12 @@ def sql_prompt(question: Column, template: str = SQL_TEMPLATE, schema: str = TAB
     return fill_template(template, schema=F.lit(schema), question=question)
 
 
+def spark_sql_prompt(question: Column, as_of: str, template: str = SPARK_SQL_TEMPLATE,
+                     schema: str = SPARK_TABLE_TEXT) -> Column:
+    """A prompt for a query that ``plans.adhoc.run_query`` runs, with dates relative to ``as_of``."""
+    return fill_template(template, schema=F.lit(schema), question=question, as_of=F.lit(str(as_of)))
+
+
 def answer_prompt(question: Column, sql: Column, rows: str, budget_section: Column,
                   template: str = ANSWER_TEMPLATE) -> Column:
     """``rows`` names a list of JSON objects; the first 15 are shown."""

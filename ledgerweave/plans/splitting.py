@@ -4,6 +4,7 @@ A record's place in the shuffled order is the rank of ``md5(seed:key)``.  The
 split needs only the hash values at two ranks.  They are found by counting
 records per hash prefix: each round returns at most 65,536 counts, whatever the
 data, and fixes four more hex digits.  Labelling is then a comparison per row.
+Rounds read the hashes from a table that the first one has written, not the records.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerweave.sources.shared import write_through
+
 # Fixed values of the split rule.
 SEED = 42
 VALID_SHARE = 0.15
@@ -25,6 +28,7 @@ TINY_VALID, TINY_TEST = 3, 2
 _DIGITS = 4
 _BLOCK = 100_000
 _HASH = "_hash"
+_PREFIX = 3          # hex digits of the sums that pass the driver
 
 
 @dataclass(frozen=True)
@@ -74,6 +78,7 @@ def find_cuts(hashed: DataFrame, ranks_of) -> tuple[int, list[Cut]]:
     prefix holds more than the records wanted; with distinct keys two or three
     rounds suffice.
     """
+    hashed = write_through(hashed.select(_HASH))
     cache: dict[str, list[tuple[str, int]]] = {"": _count_prefixes(hashed, "")}
     n = sum(c for _, c in cache[""])
     cuts = []
@@ -187,25 +192,49 @@ def shuffled_positions(records: DataFrame, key: Sequence[str], *, seed: int = SE
     """Every key with its 1-based place in the shuffled order.
 
     Keys are counted first, so copies of a key collapse before the shuffle.  The
-    rank is the number of records in smaller hash buckets, at most 4,096 counts,
-    plus the rank inside the bucket.
+    rank is the number of records in smaller hash buckets plus the rank inside the
+    bucket.  There are about as many buckets as blocks of ``_BLOCK`` records, so
+    none grows with the data; those below one hash prefix are summed up in one
+    window, and at most 4,096 sums of prefixes pass the driver.
     """
-    keys = (records.groupBy(*key).agg(F.count("*").alias("_n"))
-            .withColumn(_HASH, shuffle_hash(key, seed))
-            .withColumn("_bucket", F.substring(_HASH, 1, 3)))
-    sizes = keys.groupBy("_bucket").agg(F.sum("_n").alias("_size"))
-    counts = sorted(tuple(r) for r in sizes.collect())
-    total, offsets = 0, []
-    for bucket, size in counts:
-        offsets.append((bucket, total))
-        total += size
-    spark = records.sparkSession
-    places = spark.createDataFrame(offsets, "_bucket string, _offset long")
+    h = shuffle_hash(key, seed)
+    keys = write_through(records.groupBy(*key).agg(F.count("*").alias("_n")).withColumn(_HASH, h))
+    digits = _bucket_digits(keys.agg(F.sum("_n")).first()[0] or 0)
+    keys = keys.withColumn("_bucket", F.substring(_HASH, 1, digits))
     inside = F.sum("_n").over(W.partitionBy("_bucket").orderBy(_HASH, *key).rowsBetween(
         W.unboundedPreceding, W.currentRow))
-    ranked = (keys.withColumn("_inside", inside)
-              .join(F.broadcast(places), "_bucket")
-              .withColumn("_last", F.col("_offset") + F.col("_inside")))
-    ranked = ranked.withColumn("_first", F.col("_last") - F.col("_n") + 1)
-    hot = max((size for _, size in counts), default=0) > max(_BLOCK, 4 * total // 4096)
-    return _number_copies(ranked, "position", spread_out=hot).select(*key, "position")
+    ranked = (keys.withColumn("_inside", inside).join(_offsets(keys, digits), "_bucket")
+              .withColumn("_last", F.col("_offset") + F.col("_inside"))
+              .withColumn("_first", F.col("_last") - F.col("_n") + 1)
+              .select(*key, "_n", "_first", "_last"))
+    few = _number_copies(ranked.where(F.col("_n") <= _BLOCK), "position", spread_out=False)
+    many = _number_copies(ranked.where(F.col("_n") > _BLOCK), "position", spread_out=True)
+    return few.unionByName(many).select(*key, "position")
+
+
+def _bucket_digits(n: int) -> int:
+    """Hex digits of a hash that leave about ``_BLOCK`` records to a bucket."""
+    digits = _PREFIX
+    while n > _BLOCK * 16 ** digits:
+        digits += 1
+    return digits
+
+
+def _offsets(keys: DataFrame, digits: int) -> DataFrame:
+    """Number of records before each bucket."""
+    sizes = keys.groupBy("_bucket").agg(F.sum("_n").alias("_size"))
+    prefix = F.substring("_bucket", 1, _PREFIX)
+    total, before = 0, []
+    for p, size in sorted(tuple(r) for r in keys.groupBy(F.substring(_HASH, 1, _PREFIX))
+                          .agg(F.sum("_n")).collect()):
+        before.append((p, total))
+        total += size
+    places = keys.sparkSession.createDataFrame(before, "_prefix string, _before long")
+    if digits == _PREFIX:
+        return sizes.join(F.broadcast(places), sizes["_bucket"] == places["_prefix"]).select(
+            "_bucket", F.col("_before").alias("_offset"))
+    within = F.sum("_size").over(W.partitionBy("_prefix").orderBy("_bucket").rowsBetween(
+        W.unboundedPreceding, -1))
+    return (sizes.withColumn("_prefix", prefix).join(F.broadcast(places), "_prefix")
+            .withColumn("_offset", F.col("_before") + F.coalesce(within, F.lit(0)))
+            .select("_bucket", "_offset"))

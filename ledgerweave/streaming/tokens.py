@@ -45,6 +45,11 @@ def _join_runs(runs: DataFrame) -> DataFrame:
     return whole.select("request_id", F.array_join(kept["text"], "").alias("text"))
 
 
+def _may_hold(text: Column, key: str) -> Column:
+    """False for text that cannot be JSON with this key, so that it need not be parsed."""
+    return F.contains(text, F.lit(key)) | F.contains(text, F.lit("\\u"))
+
+
 def event_token(raw_line: Column) -> Column:
     """Token ``t`` and stop flag ``s`` of an event line; other lines have neither."""
     record = "struct<choices:array<struct<delta:struct<content:string>>>>"
@@ -53,7 +58,8 @@ def event_token(raw_line: Column) -> Column:
         data = F.substring(line, F.lit(len(EVENT_PREFIX) + 1), F.lit(2**31 - 1))
         token = F.get(strict_record(data, record)["choices"], F.lit(0))["delta"]["content"]
         return F.when(line.startswith(EVENT_PREFIX), F.struct(
-            token.alias("t"), (line == EVENT_PREFIX + STOP_LINE).alias("s")))
+            F.when(_may_hold(data, "content"), token).alias("t"),
+            (line == EVENT_PREFIX + STOP_LINE).alias("s")))
     return F.transform(F.array(strip(raw_line)), read)[0]
 
 

@@ -87,6 +87,19 @@ def test_blocks_of_copies(spark, monkeypatch):
     assert tuple(got) == (5050, 100)
 
 
+def test_positions_in_longer_buckets(spark, monkeypatch):
+    """More digits than the driver's sums have: offsets come from a window below each prefix."""
+    monkeypatch.setattr(splitting, "_BLOCK", 3)
+    monkeypatch.setattr(splitting, "_PREFIX", 1)
+    keys = [f"k{i % 300}" for i in range(900)] + ["hot"] * 50
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    order = sorted(keys, key=lambda k: (hashlib.md5(f"42:{k}".encode()).hexdigest(), k))
+    got = splitting.shuffled_positions(df, ["k"]).orderBy("position").collect()
+    assert splitting._bucket_digits(len(keys)) == 3
+    assert [(r.k, r.position) for r in got] == [(k, i) for i, k in enumerate(order, 1)]
+    assert splitting.shuffled_positions(df.limit(0), ["k"]).count() == 0
+
+
 def test_labels_move_no_records(spark):
     """Away from the cuts a record gets its label where it is."""
     df = spark.range(1000).withColumnRenamed("id", "k")

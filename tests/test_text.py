@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import random
 import re
@@ -6,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerweave.functions import chat, completions, jsontext, text
+from ledgerweave.functions import chat, completions, jsontext, prompts, text
+from ledgerweave.plans import adhoc
+from ledgerweave.streaming import tokens
 
 SPACES = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\xa0", " ", "　"]
 NOT_SPACES = ["​", "\x00", "﻿"]
@@ -117,3 +120,30 @@ def test_key_strip_and_length(spark):
     got = [r.messages for r in chat.training_rows(df).collect()]
     assert got == [[{"role": "system", "content": "s", "name": "n"},
                     {"role": "user", "content": "u"}]]
+
+
+def test_spark_prompt_asks_for_sql_that_runs(spark):
+    """Column names and date rules of the prompt hold for the tables that texts may read."""
+    text = spark.range(1).select(prompts.spark_sql_prompt(
+        F.lit("How {much}?"), "2024-03-31").alias("p")).first().p
+    assert 'Question: "How {much}?"' in text and "{as_of}" not in text
+    t = spark.createDataFrame([(1, dt.date(2024, 2, 29), "x", 5, "Rent", "Checking")],
+                              "id long, tx_date date, description string, amount int, category string, "
+                              "account string")
+    for column in t.columns:
+        assert f"\n  {column} " in text
+    rule = re.search(r'"last month"  -> (WHERE .*\n.*)', text)[1]
+    got = adhoc.run_query(spark, f"SELECT id FROM transactions {rule}", {"transactions": t})
+    assert got.error == "" and [r.id for r in got.rows.collect()] == [1]
+    for name in ("this month", "this year", "last N days"):
+        rule = re.search(rf'"{name}"\s*-> (WHERE .*)', text)[1].replace("N)", "90)")
+        got = adhoc.run_query(spark, f"SELECT id FROM transactions {rule}", {"transactions": t})
+        assert [r.id for r in got.rows.collect()] == ([] if name == "this month" else [1])
+
+
+def test_tokens_are_parsed_where_the_key_may_be(spark):
+    lines = ['data: {"choices": [{"delta": {"content": "a"}}]}', 'data: {"choices": []}',
+             'data: {"choices": [{"delta": {"\\u0063ontent": "b"}}]}', "data: [DONE]"]
+    df = spark.createDataFrame([(1, i, x) for i, x in enumerate(lines)],
+                               "request_id int, seq long, raw_line string")
+    assert tokens.reassemble_events(df).first().text == "ab"
