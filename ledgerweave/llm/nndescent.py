@@ -1,14 +1,25 @@
 """Near-duplicate embeddings by NN-descent.
 
-Exact copies (same label and vector) are one vertex with a weight.  Vertices start with
-neighbours from a few random-projection orders: vectors sorted by the signs of random
-projections, compared in blocks.  A round then compares the neighbours of each vertex,
-in either direction, with each other (neighbours of neighbours) and keeps the best
+Exact copies (same label and vector) are one vertex with a weight.  Vertices that link to a
+pivot found next to them make its home: a few random-projection orders (vectors sorted by the
+signs of random projections, in blocks) are searched for pivots, and a vertex joins
+the first one it links to.  A dense group becomes a few homes, and NN-descent runs on pivots.
+A pivot counts as a ball as wide as its farthest member, and two balls are as similar as
+the cosine of the gap between them, so every link of two members shows as a near pair of balls.
+Pivots without members are points, for which this is the cosine of the vectors.
+
+Balls start with neighbours from further orders.  A round then compares the neighbours of
+each ball, in either direction, with each other (neighbours of neighbours) and keeps the best
 ``k`` of each.  A list whose worst member still passes the threshold is saturated
-and doubles.  Every pair seen at or above the threshold is a link, whatever the lists keep.
+and doubles.  Every pair seen at or above the threshold is near, whatever the lists keep.
 Rounds go on until few lists change and none is saturated; then a fixed number
-of vertices is compared with all others (audit), and while the share of their links
-found is below ``RECALL``, further orders and rounds follow.
+of pivots is compared with all others (audit), and while the share of their near pairs
+found is below ``RECALL``, further orders and rounds follow; if it stays below, a warning
+says so.
+
+Near points are links.  The members of near homes, and those of one home, are compared in a tile
+each, which gives the links counted per vertex and one row per vertex to the smallest one
+it reaches there: pairs of vertices of a dense group are counted, never written.
 
 Vectors are compared only if labels are equal and not null, and lengths agree, by cosine in
 double precision.  A vector that is null or zero, or holds null or non-finite
@@ -18,6 +29,7 @@ an id are vectors of one vertex id.  Columns other than id, label and vector are
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +49,10 @@ AUDITED = 256
 RECALL = 0.99
 PART = 128          # members of a neighbourhood that are compared at once
 
+HOME_BLOCK = 512    # vectors among which pivots are looked for; a home has at most
+HOME_ORDERS = 4     # HOME_BLOCK members from each of these orders
+SLACK = 1e-6        # radians added to the radius of a ball against rounding
+
 PAIRS = "a long, b long, cosine double"
 
 
@@ -102,13 +118,103 @@ def _batch(a: list, b: list, cosine: list) -> pa.RecordBatch:
          pa.array(flat[2].astype(np.float64))], ["a", "b", "cosine"])
 
 
+def _gap(cosine: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Cosines of the gaps between balls; where both are points, the cosines as they are."""
+    reach = left[:, None] + right[None, :]
+    wide = reach > 0
+    if wide.any():
+        angle = np.arccos(np.clip(cosine[wide], -1, 1)) - reach[wide]
+        cosine[wide] = np.cos(np.maximum(angle, 0))
+    return cosine
+
+
+def _alike(block: pa.RecordBatch) -> np.ndarray:
+    """How similar the balls of a block are to each other."""
+    unit, radius = _unit(block.column("embedding")), block.column("radius").to_numpy()
+    return _gap(unit @ unit.T, radius, radius)
+
+
+def _homes(points: DataFrame, least: float) -> DataFrame:
+    """(id, home, cosine) of every vertex; a pivot is its own home.
+
+    Members of a pivot leave before the next order; a pivot that has members stays one.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _groups(batches, ["space"], HOME_BLOCK):
+            ids, unit = block.column("id").to_numpy(), _unit(block.column("embedding"))
+            settled = block.column("settled").to_numpy(zero_copy_only=False)
+            home, near = np.full(len(ids), -1), np.ones(len(ids))
+            home[settled] = np.flatnonzero(settled)
+            cosine = unit @ unit.T
+            for i in np.argsort(~settled, kind="stable"):    # pivots that have members come first
+                if home[i] >= 0 and home[i] != i:
+                    continue
+                home[i] = i
+                mine = np.flatnonzero((cosine[i] >= least) & (home < 0))
+                home[mine], near[mine] = i, cosine[i, mine]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(ids[home]), pa.array(near)], ["id", "home", "cosine"])
+
+    left, placed = points.select("id", "space", "embedding", F.lit(False).alias("settled")), None
+    for turn in range(HOME_ORDERS):
+        code = _codes(1000 + turn)("embedding")
+        rows = left.withColumn("code", code).repartitionByRange("space", "code", "id")
+        rows = rows.sortWithinPartitions("space", "code", "id").drop("code")
+        now = write_through(rows.mapInArrow(run, "id long, home long, cosine double"))
+        members = now.where("id <> home")
+        placed = members if placed is None else placed.union(members)
+        owners = members.select(F.col("home").alias("id")).distinct().withColumn("owns", F.lit(True))
+        left = write_through(
+            left.join(members.select("id"), "id", "left_anti").join(owners, "id", "left")
+            .select("id", "space", "embedding",
+                    (F.col("settled") | F.coalesce("owns", F.lit(False))).alias("settled")))
+    return placed.union(left.select("id", F.col("id").alias("home"), F.lit(1.0)))
+
+
+def _tiles(homes: DataFrame, near: DataFrame, least: float) -> DataFrame:
+    """(id, n, low): in each tile, the weight of a vertex's links and the smallest vertex it
+    reaches; ``homes`` has (home, id, weight, embedding), ``near`` the pairs (p, q) of homes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in _groups(batches, ["p", "q"], 2 * HOME_BLOCK * (HOME_ORDERS + 1)):
+            ids, weight = tile.column("id").to_numpy(), tile.column("weight").to_numpy()
+            unit, right = _unit(tile.column("embedding")), tile.column("right").to_numpy()
+            x, y = np.flatnonzero(right == 0), np.flatnonzero(right == 1)
+            if not len(y):                      # a home with itself
+                y = x
+            linked = unit[x] @ unit[y].T >= least
+            linked &= ids[x][:, None] != ids[y][None, :]
+            n = np.zeros(len(ids), dtype=np.int64)
+            n[x] = linked @ weight[y]
+            if y is not x:
+                n[y] = weight[x] @ linked
+            low = ids.copy()
+            while True:                         # the smallest id spreads along the links
+                before = low.copy()
+                for i in np.flatnonzero(linked.any(axis=1)):
+                    at = y[linked[i]]
+                    least_id = min(low[x[i]], low[at].min())
+                    low[x[i]] = least_id
+                    low[at] = least_id
+                if (low == before).all():
+                    break
+            some = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[some]), pa.array(n[some]), pa.array(low[some])], ["id", "n", "low"])
+
+    def side(column: str, right: int, pairs: DataFrame) -> DataFrame:
+        return (pairs.join(homes, pairs[column] == homes["home"])
+                .select("p", "q", F.lit(right).alias("right"), "id", "weight", "embedding"))
+    rows = side("p", 0, near).union(side("q", 1, near.where("p <> q")))
+    rows = rows.repartition("p", "q").sortWithinPartitions("p", "q")
+    return rows.mapInArrow(run, "id long, n long, low long")
+
+
 def _first_neighbours(points: DataFrame, turn: int, k: int, least: float) -> DataFrame:
     """The best k of each vertex, and all links, in blocks of one random order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, n = ([], [], []), 0
         for block in _groups(batches, ["space"], BLOCK):
-            ids, unit = block.column("id").to_numpy(), _unit(block.column("embedding"))
-            cosine = unit @ unit.T
+            ids, cosine = block.column("id").to_numpy(), _alike(block)
             np.fill_diagonal(cosine, -2)
             worst = np.sort(cosine, axis=1)[:, -min(k, len(ids))][:, None]
             a, b = np.nonzero(((cosine >= worst) | (cosine >= least)) & (cosine > -2))
@@ -120,9 +226,9 @@ def _first_neighbours(points: DataFrame, turn: int, k: int, least: float) -> Dat
                 out, n = ([], [], []), 0
         yield _batch(*out)
     code = _codes(turn)("embedding")
-    rows = points.select("id", "space", "embedding", code.alias("code"))
+    rows = points.select("id", "space", "embedding", "radius", code.alias("code"))
     rows = rows.repartitionByRange("space", "code", "id").sortWithinPartitions("space", "code", "id")
-    return rows.select("id", "space", "embedding").mapInArrow(run, PAIRS)
+    return rows.select("id", "space", "embedding", "radius").mapInArrow(run, PAIRS)
 
 
 def _best(pairs: DataFrame, sizes: DataFrame | None, k: int) -> DataFrame:
@@ -135,26 +241,25 @@ def _best(pairs: DataFrame, sizes: DataFrame | None, k: int) -> DataFrame:
     return ranked.join(sizes, "a", "left").where(F.col("rank") <= size).select("a", "b", "cosine")
 
 
-def _local_join(points: DataFrame, graph: DataFrame, least: float) -> DataFrame:
-    """Compares all neighbours of each vertex; pairs better than either end's worst, and links.
+def _local_join(points: DataFrame, graph: DataFrame, least: float, turn: int) -> DataFrame:
+    """Compares neighbours of each ball; pairs better than either end's worst, and near pairs.
 
-    The neighbourhood of a hub is dealt into parts by hash, and each is compared within
-    itself and with the vertex's own list, so no task holds more than a part.
+    The neighbourhood of a hub is dealt into parts by hash and compared within them, so
+    no task holds more than a part; each turn deals it anew, so other pairs meet.
     """
     worst = graph.groupBy("a").agg(F.min("cosine").alias("worst"))
     either = (graph.select(F.col("a").alias("of"), F.col("b").alias("id"))
               .union(graph.select(F.col("b").alias("of"), F.col("a").alias("id"))).distinct())
     parts = either.groupBy("of").agg(F.ceil(F.count("*") / PART).alias("parts"))
-    known = points.select("id", "embedding").join(worst.withColumnRenamed("a", "id"), "id", "left")
-    rows = (either.join(parts, "of").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    known = points.select("id", "embedding", "radius").join(worst.withColumnRenamed("a", "id"), "id", "left")
+    rows = (either.join(parts, "of").withColumn("part", F.pmod(F.xxhash64("id", F.lit(turn)), "parts"))
             .select("of", "part", "id").join(known, "id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, n = ([], [], []), 0
         for block in _groups(batches, ["of", "part"], 4 * PART):
-            ids, unit = block.column("id").to_numpy(), _unit(block.column("embedding"))
+            ids, cosine = block.column("id").to_numpy(), _alike(block)
             bound = block.column("worst").fill_null(-2.0).to_numpy()
-            cosine = unit @ unit.T
             np.fill_diagonal(cosine, -3)
             a, b = np.nonzero((cosine > np.minimum(bound[:, None], least)) & (cosine > -3))
             for x, y in zip(out, (ids[a], ids[b], cosine[a, b])):
@@ -165,40 +270,41 @@ def _local_join(points: DataFrame, graph: DataFrame, least: float) -> DataFrame:
                 out, n = ([], [], []), 0
         yield _batch(*out)
     rows = rows.repartition("of", "part").sortWithinPartitions("of", "part")
-    return rows.select("of", "part", "id", "embedding", "worst").mapInArrow(run, PAIRS)
+    return rows.select("of", "part", "id", "embedding", "radius", "worst").mapInArrow(run, PAIRS)
 
 
 def _audit(points: DataFrame, least: float) -> DataFrame:
-    """All links of about AUDITED vertices, by comparison with every vertex in blocks."""
+    """All near pairs of about AUDITED balls, by comparison with every ball in blocks."""
     n = points.count()
     some = points.where(F.pmod(F.xxhash64("id"), F.lit(max(1, n // AUDITED))) == 0)
-    asked = some.limit(2 * AUDITED).select("id", "space", "embedding").toArrow()
+    asked = some.limit(2 * AUDITED).select("id", "space", "embedding", "radius").toArrow()
     spaces = asked.column("space").to_pylist()
     queries = {s: (asked.column("id").to_numpy()[np.array(spaces) == s], _unit(
-        asked.column("embedding").combine_chunks().filter(pa.array(np.array(spaces) == s))))
-        for s in set(spaces)}
+        asked.column("embedding").combine_chunks().filter(pa.array(np.array(spaces) == s))),
+        asked.column("radius").to_numpy()[np.array(spaces) == s]) for s in set(spaces)}
     shared = points.sparkSession.sparkContext.broadcast(queries)    # 2 * AUDITED vectors at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             space = batch.column("space").to_numpy(zero_copy_only=False)
             out = ([], [], [])
-            for s, (ids, unit) in shared.value.items():
+            for s, (ids, unit, radius) in shared.value.items():
                 at = np.flatnonzero(space == s)
                 if len(at):
-                    cosine = unit @ _unit(batch.column("embedding").take(pa.array(at))).T
+                    cosine = _gap(unit @ _unit(batch.column("embedding").take(pa.array(at))).T,
+                                  radius, batch.column("radius").to_numpy()[at])
                     mine = batch.column("id").to_numpy()[at]
                     a, b = np.nonzero((cosine >= least) & (ids[:, None] != mine[None, :]))
                     for x, y in zip(out, (ids[a], mine[b], cosine[a, b])):
                         x.append(y)
             yield _batch(*out)
-    return points.select("id", "space", "embedding").mapInArrow(run, PAIRS)
+    return points.select("id", "space", "embedding", "radius").mapInArrow(run, PAIRS)
 
 
 def links(points: DataFrame, least: float = THRESHOLD, k: int = K) -> tuple[DataFrame, float]:
-    """(a, b, cosine) of linked vertices in both directions, and the recall measured.
+    """(a, b, cosine) of near balls in both directions, and the recall measured.
 
-    ``points`` has (id, space, embedding); vertices are compared within a space.
+    ``points`` has (id, space, embedding, radius); balls are compared within a space.
     """
     found, graph, recall = None, None, 1.0
     for again in range(4):
@@ -209,8 +315,8 @@ def links(points: DataFrame, least: float = THRESHOLD, k: int = K) -> tuple[Data
         graph = write_through(new if graph is None else new.union(graph))
         found = _linked(found, graph, least)
         graph, sizes = write_through(_best(graph, None, k)), None
-        for _ in range(ROUNDS):
-            seen = write_through(_local_join(points, graph, least))
+        for turn in range(ROUNDS):
+            seen = write_through(_local_join(points, graph, least, again * ROUNDS + turn))
             found = _linked(found, seen, least)
             better = write_through(_best(graph.union(seen), sizes, k))
             lists = better.groupBy("a").agg(F.count("*").alias("n"), F.min("cosine").alias("w"))
@@ -245,21 +351,38 @@ def near_duplicates(vectors: DataFrame, least: float = THRESHOLD) -> DataFrame:
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
     whole = rows.where(usable())
     key = ["label", "embedding"]
+    # Two hashes, 128 bits, stand for a vector where rows are joined to it.
+    digest = [F.xxhash64(*key).alias("_key"), F.xxhash64(F.lit(1), *key).alias("_more")]
     points = write_through(
         whole.groupBy(*key).agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
-        .select("id", "weight", "label", "embedding",
+        .select("id", "weight", "embedding", *digest,
                 F.xxhash64("label", F.size("embedding")).alias("space")))
-    pairs, _ = links(points, least)
-    weight = points.groupBy(F.col("id").alias("b")).agg(F.sum("weight").alias("weight"))
-    around = pairs.join(weight, "b").groupBy("a").agg(F.sum("weight").alias("around"))
-    parts = components(pairs)
+    homes = write_through(_homes(points, least))
+    wide = homes.groupBy("home").agg(F.min("cosine").alias("cosine"), F.count("*").alias("n"))
+    radius = F.acos(F.least(F.lit(1.0), "cosine")) + SLACK
+    balls = write_through(points.join(wide, points["id"] == wide["home"]).select(
+        "id", "space", "embedding", F.when(F.col("n") > 1, radius).otherwise(0.0).alias("radius")))
+    near, recall = links(balls, least)
+    if recall < RECALL:
+        warnings.warn(f"a share of {recall:.4f} of the audited near pairs was found", stacklevel=2)
+    owner = balls.where("radius > 0").select("id")
+    alone = (near.join(owner, near["a"] == owner["id"], "left_anti")
+             .join(owner, near["b"] == owner["id"], "left_anti"))
+    tiled = (near.where("a < b").join(alone, ["a", "b"], "left_anti")
+             .select(F.col("a").alias("p"), F.col("b").alias("q"))
+             .union(owner.select(F.col("id").alias("p"), F.col("id").alias("q"))))
+    member = homes.select("home", "id").join(points.select("id", "weight", "embedding"), "id")
+    inside = write_through(_tiles(member, tiled, least))
+    weight = points.groupBy(F.col("id").alias("b")).agg(F.sum("weight").alias("n"))
+    around = (alone.join(weight, "b").select(F.col("a").alias("id"), "n")
+              .union(inside.select("id", "n")).groupBy("id").agg(F.sum("n").alias("around")))
+    parts = components(alone.select("a", "b").union(inside.select("id", "low")))
     facts = write_through(
-        points.select("id", "weight", *key).join(around.withColumnRenamed("a", "id"), "id", "left")
+        points.select("id", "weight", "_key", "_more").join(around, "id", "left")
         .join(parts.withColumnRenamed("node", "id"), "id", "left")
-        .select(F.xxhash64(*key).alias("_key"), F.col("id").alias("_rep"), "weight", "around",
-                "component"))
+        .select("_key", "_more", F.col("id").alias("_rep"), "weight", "around", "component"))
     member = write_through(
-        rows.where(usable()).select("vec_id", F.xxhash64(*key).alias("_key")).join(facts, "_key")
+        rows.where(usable()).select("vec_id", *digest).join(facts, ["_key", "_more"])
         .select("vec_id", (F.coalesce("around", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
                 F.coalesce("component", "_rep").alias("component_id")))
     rest = rows.where(~F.coalesce(usable(), F.lit(False))).select(

@@ -510,6 +510,28 @@ def test_embedding_links_equal_brute_force(spark):
     assert nndescent.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_dense_groups_are_counted_in_tiles(spark, monkeypatch):
+    """Thousands of near copies, a chain and copies around two centres a link apart."""
+    monkeypatch.setattr(nndescent, "HOME_BLOCK", 64)
+    rng = np.random.default_rng(11)
+    one, other = rng.standard_normal((2, 32))
+    near = [one + 0.13 * rng.standard_normal(32) for _ in range(2500)]
+    near += [one + 0.25 * (other - one) * i / 20 + 0.05 * rng.standard_normal(32) for i in range(200)]
+    near += list(rng.standard_normal((300, 32)))
+    rows_ = [(i, [float(x) for x in np.float32(v)], 0) for i, v in enumerate(near)]
+    rows_ += [(5000 + i, rows_[i % 7][1], 0) for i in range(40)]
+    df = spark.createDataFrame(rows_, "vec_id long, embedding array<float>, label int").repartition(5)
+    unit = np.array([v for _, v, _ in rows_])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.98
+    np.fill_diagonal(linked, False)
+    ids = [r[0] for r in rows_]
+    part = joined([(ids[a], ids[b]) for a, b in zip(*np.nonzero(linked))], ids)
+    got = {r.vec_id: r for r in nndescent.near_duplicates(df).collect()}
+    assert [got[i].n_links for i in ids] == linked.sum(axis=1).tolist()
+    assert [got[i].component_id for i in ids] == [part[i] for i in ids]
+
+
 @pytest.mark.parametrize("sizes", [[3], [1, 200, 5], [128] * 4])
 def test_groups_keep_every_row(sizes):
     keys = np.repeat(np.arange(len(sizes)), sizes)
