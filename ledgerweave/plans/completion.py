@@ -7,7 +7,7 @@ from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ ATTEMPTS = 3
 BACKOFF = 2.0
 PAUSE = 0.5
 FLUSH_SECONDS = 1.0
+FLUSH_ROWS = 1024
 
 
 def _attempt(call: Callable[[], Sequence[str]], attempts: int, backoff: float):
@@ -40,9 +41,10 @@ def complete(df: DataFrame, prompt: str, fn: Callable[[list[str]], list[str]], *
     ``concurrency`` spreads the rows evenly over that many tasks.  A task has up to
     ``in_flight`` calls open at once; a call that waits for its next attempt holds up no
     other.  Rows leave the task in their order, at most ``FLUSH_SECONDS`` after their
-    call and those before it are done, and no more than two rounds of calls wait.  Spark may
-    run a task again, so calls happen at least once: write the result before using it
-    twice.
+    call and those before it are done, and no more than two rounds of calls wait.  Prompts
+    become Python strings call by call and the other columns stay in Arrow's memory, so a
+    task holds Spark's batch, about ``FLUSH_ROWS`` answers and the open calls.  Spark may run
+    a task again, so calls happen at least once: write the result before using it twice.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(answer, T.StringType()),
                            T.StructField(error, T.StringType())])
@@ -55,30 +57,34 @@ def complete(df: DataFrame, prompt: str, fn: Callable[[list[str]], list[str]], *
             time.sleep(pause)
         return (got if got is not None else [None] * len(batch)), [problem] * len(batch)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(in_flight) as pool:
-            for frame in frames:
-                yield from answered(frame, frame[prompt].tolist(), pool)
+            for batch in batches:
+                yield from answered(batch, batch.column(prompt), pool)
 
-    def answered(frame: pd.DataFrame, prompts: list[str], pool: ThreadPoolExecutor
-                 ) -> Iterator[pd.DataFrame]:
+    def answered(batch: pa.RecordBatch, prompts: pa.Array, pool: ThreadPoolExecutor
+                 ) -> Iterator[pa.RecordBatch]:
         waiting: deque[Future] = deque()
         answers, errors, shown, last = [], [], 0, time.monotonic()
+
+        def done() -> pa.RecordBatch:
+            added = [pa.array(x, pa.string(), from_pandas=True) for x in (answers, errors)]
+            return pa.RecordBatch.from_arrays(
+                [*batch.slice(shown, len(answers)).columns, *added], schema.names)
         for at in range(0, len(prompts) + 2 * in_flight * batch_size, batch_size):
             if at < len(prompts):
-                waiting.append(pool.submit(ask, prompts[at:at + batch_size]))
+                waiting.append(pool.submit(ask, prompts.slice(at, batch_size).to_pylist()))
             while waiting and (len(waiting) >= 2 * in_flight or at >= len(prompts)
                                or waiting[0].done()):
                 got, problems = waiting.popleft().result()
                 answers += got
                 errors += problems
-                if time.monotonic() - last >= FLUSH_SECONDS:
-                    yield frame.iloc[shown:shown + len(answers)].assign(
-                        **{answer: answers, error: errors})
+                if len(answers) >= FLUSH_ROWS or time.monotonic() - last >= FLUSH_SECONDS:
+                    yield done()
                     shown, last = shown + len(answers), time.monotonic()
                     answers, errors = [], []
         if answers:
-            yield frame.iloc[shown:].assign(**{answer: answers, error: errors})
+            yield done()
 
     spread = df if concurrency is None else df.repartition(concurrency)
-    return spread.mapInPandas(run, schema)
+    return spread.mapInArrow(run, schema)

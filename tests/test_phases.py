@@ -85,6 +85,32 @@ def test_one_failure_does_not_touch_the_others(spark):
     assert {r.p: r.answer for r in got} == {"x": "x", "bad": None, "y": "y"}
 
 
+def test_completion_holds_few_python_strings(spark):
+    """A worker does not turn whole batches into Python strings, however wide the rows are."""
+    tracing = {}
+
+    def fn(prompts):
+        import tracemalloc
+        if not tracing:
+            tracemalloc.start()
+            tracing["on"] = True
+        peak = tracemalloc.get_traced_memory()[1]
+        if prompts[0].startswith("2999 "):
+            tracemalloc.stop()
+        return [str(peak)]
+    text = F.concat("id", F.lit(" "), F.repeat(F.lit("x"), 5000), F.lit("\U0001f600"))  # 4 bytes a letter
+    df = spark.range(0, 3000, 1, 1).select("id", text.alias("p"), text.alias("q"),
+                                           F.array(text).alias("r"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    try:
+        got = completion.complete(df, "p", fn, **NO_WAIT).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [r.id for r in got] == list(range(3000)) and all(r.error is None for r in got)
+    assert all(r.p == r.q == r.r[0] == f"{r.id} " + "x" * 5000 + "\U0001f600" for r in got)
+    assert max(int(r.answer) for r in got) < 80_000_000
+
+
 QUERY_ERRORS = ["DROP TABLE t", "SELECT 1; SELECT 2", "SELECT nope FROM t", "INSERT INTO t VALUES (1)",
                 "SELECT reflect('java.lang.System', 'nanoTime')", "SHOW TABLES",
                 "SELECT IDENTIFIER('java_' || 'method')('java.lang.System', 'nanoTime')",
