@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerweave.llm import words
+from ledgerweave.llm.memory import handing_back_each
 
 SIMILARITY = 0.8
 RECALL = 0.99
@@ -242,7 +243,7 @@ def _finder(shared, by_keys):
         return pa.array(out, pa.list_(pa.struct([
             ("item_id", pa.int64()), ("item_words", pa.int64()), ("edits", pa.int64()),
             ("near_word", pa.int64())])))
-    return F.arrow_udf(find, LEAK)
+    return F.arrow_udf(handing_back_each(find), LEAK)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerweave.llm import words
 from ledgerweave.llm.components import components
-from ledgerweave.llm.memory import handing_back
+from ledgerweave.llm.memory import handing_back, handing_back_each
 from ledgerweave.sources.shared import write_through
 
 BUCKET_BITS = 7
@@ -228,7 +228,9 @@ def _within_groups(groups: DataFrame, parts: DataFrame, texts: DataFrame, size:
         root = _joined(_intersections(sets), np.array([len(s) for s in sets]), percent, rep)
         far = root != rep
         return pa.table({"a": root[far], "b": rep[far]})
-    return write_through(rows.groupBy("first", "i", "j").applyInArrow(link, "a long, b long"))
+    linked = handing_back_each(link)
+    return write_through(rows.groupBy("first", "i", "j").applyInArrow(
+        lambda table: linked(table), "a long, b long"))
 
 
 def _intersections(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -291,10 +293,10 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, size: int, p
     def text(x: str) -> DataFrame:
         return texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t_{x}"))
     alike = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    close = F.arrow_udf(likely, "boolean")("r_a", "r_b", "n_a", "n_b")
+    close = F.arrow_udf(handing_back_each(likely), "boolean")("r_a", "r_b", "n_a", "n_b")
     picked = write_through(pairs.join(side("a"), "a").join(side("b"), "b").where(alike)
                            .where(close).select("a", "b").distinct())
-    same = F.arrow_udf(similar, "boolean")("t_a", "t_b")
+    same = F.arrow_udf(handing_back_each(similar), "boolean")("t_a", "t_b")
     return picked.join(text("a"), "a").join(text("b"), "b").where(same).select("a", "b").distinct()
 
 

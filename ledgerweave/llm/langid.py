@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerweave.llm import words
+from ledgerweave.llm.memory import handing_back_each
 from ledgerweave.sources.shared import write_through
 
 UNDETERMINED = "und"
@@ -164,7 +165,7 @@ def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Learns from ``text`` and ``lang`` of at most ``rows`` rows of ``docs``."""
-    vector = F.arrow_udf(_frequencies, "binary")
+    vector = F.arrow_udf(handing_back_each(_frequencies), "binary")
     got = (training_sample(docs, rows).where(has_letter("text")).limit(2 * rows)
            .select("lang", vector("text").alias("x")).collect())
     labels = np.array([r["lang"] for r in got], dtype=object)
@@ -192,7 +193,11 @@ def has_letter(text: str) -> Column:
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` to every row; columns so named are replaced."""
+    """Adds ``lang_pred`` and ``score`` to every row; columns so named are replaced.
+
+    A text is judged once, also where a filter on the result follows: Spark would repeat a
+    deterministic function below the filter, in a second Python worker of each task.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     if not model.families:
         return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
@@ -208,7 +213,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score)],
                                           ["lang", "score"])
 
-    found = F.arrow_udf(judge, "lang string, score double")(F.col("text"))
+    once = F.arrow_udf(handing_back_each(judge), "lang string, score double").asNondeterministic()
+    found = once(F.col("text"))
     judged = docs.withColumn("_judged", F.struct(found.alias("v"), has_letter("text").alias("ok")))
     return judged.withColumns({
         "lang_pred": F.when(F.col("_judged.ok"), F.col("_judged.v.lang"))

@@ -8,14 +8,16 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import (cgk, chunks, components, extendible, hyperminhash, langid, nndescent,
-                             poisson, urlfilter, wavelet, words)
+import corpus_pipeline
+from ledgerweave.llm import (cgk, chunks, components, extendible, hyperminhash, langid, memory,
+                             nndescent, poisson, urlfilter, wavelet, words)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -168,6 +170,32 @@ def test_language_edges(spark):
     assert {r["lang_pred"] for r in langid.predict(asked, one).collect()} == {"und", "de"}
 
 
+def test_a_text_is_judged_once(spark):
+    """A filter on the language must not repeat the Python function in a second worker."""
+    docs = spark.createDataFrame(
+        [(i, t, None if i == 7 else lang, None, None) for i, (t, lang) in enumerate([
+            ("the cat and the dog went out", "en"), ("der hund und die katze", "de")] * 4)]
+        + [(8, None, "en", "s", 0), (None, "123 $$", "de", "s", 6), (3, "the dog and the cat", "en", "s", 1)],
+        DOCS)
+    got = corpus_pipeline.identify_language(spark, docs, "")
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted((r["doc_id"], r["lang"]) for r in got.collect()) == sorted(
+        [(i, "de" if i % 2 else "en") for i in range(8)] + [(3, "en")])
+    assert got.columns == docs.columns
+
+
+def test_memory_is_handed_back_behind_calls(monkeypatch):
+    calls = []
+    monkeypatch.setattr(memory, "hand_back", lambda: calls.append(1))
+    text = " ".join(prose(5, 40))
+    broadcast = SimpleNamespace(value=cgk.Index([1], [text]))
+    found = cgk._finder(broadcast, True).func(pa.array([text, None]))
+    assert [len(x) for x in found.to_pylist()] == [1, 0] and calls == [1]
+    with pytest.raises(ZeroDivisionError):
+        memory.handing_back_each(lambda x: x // 0)(1)
+    assert calls == [1, 1]
+
+
 # op10
 
 def edit_distance(a, b):
